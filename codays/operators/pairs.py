@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from codays.functions import PAIR, cell_block, ordered_pair, precedes
 from codays.session import shuffle_width
 
-CELLS_PER_BLOCK = 2048
+CELLS_PER_BLOCK = 4096
 TILES_PER_TASK = 3
 
 

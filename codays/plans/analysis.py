@@ -18,6 +18,17 @@ def load_cell_days(raw: DataFrame) -> DataFrame:
     return staged(cell_days(raw), "cell-days")
 
 
+def winning_pair(
+    days: DataFrame, strategy: str = DEFAULT_STRATEGY, num_partitions: int | None = None
+) -> DataFrame:
+    """The most frequent pair as a staged row.
+
+    Later steps broadcast it; staging keeps the search itself out of the
+    broadcast, which has a time limit.
+    """
+    return staged(most_frequent_pair(valid_cell_days(days), strategy, num_partitions), "top")
+
+
 def result_row(days: DataFrame, top: DataFrame) -> DataFrame:
     """The pair, its ordered days and the row counts, as exactly one row.
 
@@ -37,8 +48,7 @@ def result_row(days: DataFrame, top: DataFrame) -> DataFrame:
 def analyse_cell_days(
     days: DataFrame, strategy: str = DEFAULT_STRATEGY, num_partitions: int | None = None
 ) -> DataFrame:
-    top = most_frequent_pair(valid_cell_days(days), strategy, num_partitions)
-    return result_row(days, top)
+    return result_row(days, winning_pair(days, strategy, num_partitions))
 
 
 def analyse(
