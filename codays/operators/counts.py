@@ -14,7 +14,7 @@ from codays.fixed_values import (
 from codays.functions import PAIR
 from codays.operators.pairs import tiled_cooccurrences
 
-DATE_BUCKETS = 8
+DATE_BUCKETS = 4
 
 
 def parse_strategy(text: str) -> str:
