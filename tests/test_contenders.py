@@ -87,9 +87,8 @@ def test_a_crowded_day_is_not_expanded(spark):
 def test_both_ways_to_the_winner_agree(spark):
     data = long_tail(random.Random(3))
     unique = spark.createDataFrame(sorted(data), UNIQUE)
-    for limit in (0, 10**9):
-        for strategy in ("1", "2", "3"):
-            assert rows(most_frequent_pair(unique, strategy, 4, limit)) == [brute.winner(data)]
+    for limit, strategy in ((0, "1"), (0, "2"), (10**9, "1"), (10**9, "3")):
+        assert rows(most_frequent_pair(unique, strategy, 4, limit)) == [brute.winner(data)]
 
 
 def test_opening_is_a_count_that_occurs(spark):
