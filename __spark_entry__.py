@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from codays.functions import PAIR
 from codays.operators.clean import parse_events, reject_audit
-from codays.operators.contenders import contender_instances, most_frequent_pair
-from codays.operators.counts import count_all_pairs, pair_counts
+from codays.operators.contenders import contender_counts, most_frequent_pair
+from codays.operators.counts import count_all_pairs
 from codays.operators.grid import (
     cell_days,
     cells_per_day,
@@ -102,8 +102,8 @@ def top_pair_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_pair_pruned(spark: SparkSession, folder: str) -> DataFrame:
-    instances = contender_instances(_staged_unique(spark, folder))
-    return top_pair(pair_counts(instances, "reducebykey"))
+    # No pair budget, so that the pruned way is taken even on small data.
+    return top_pair(contender_counts(_staged_unique(spark, folder), pairs_per_task=0))
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:

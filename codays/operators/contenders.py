@@ -1,37 +1,37 @@
-"""The pairs that can still be the most frequent one, found without all pairs.
+"""The most frequent pair, found exactly without forming every pair.
 
 The days two cells share are the intersection of their day sets. Once some
-pair is known to share ``floor`` days, the winner shares at least as many, and
-set-similarity pruning applies, exactly:
-
-* a cell with fewer than ``floor`` days is out;
-* order all days from quiet to crowded, in the same way for every cell. Two
-  cells with ``n`` and ``m`` days that share at least ``t`` of them share one
-  among the first ``n - t + 1`` days of the one and ``m - t + 1`` of the other
-  (prefix filter), so only those rows need to meet, and crowded days hardly
-  ever do;
-* a pair that only equals ``floor`` must precede the known pair to win.
-
-What is left is counted in full, day by day. Prefixes are cut at whole bands
-of days, a little later than they could be: that keeps the sums per cell to a
-fixed number of bands, whatever a cell's number of days.
+pair is known to share ``floor`` days, only pairs sharing more (or as many, if
+they come first in pair order) are of interest, and set-similarity pruning
+applies:
+
+* a cell with too few days is out;
+* put all days in one order from quiet to crowded, and let ``later`` be how
+  many of its own days a cell still has from a row on, not counting that row.
+  Of ``t`` days that two cells share, the first ``t - slack`` are on rows with
+  ``later >= slack`` for both cells. So pairs are counted on those rows alone,
+  and a pair with fewer than ``t - slack`` of them is out. The rows left aside
+  are those on the most crowded days, which make nearly all of the pairs;
+* what remains is counted in full, day by day.
+
+``slack`` 0 is plain counting. More slack forms fewer pairs and leaves more of
+them to count again, so the least slack that is cheap enough is taken.
+
+Days are ordered by bands, not one by one: that keeps the running sums per
+cell to a fixed number of bands whatever a cell's number of days, and only
+makes ``later`` larger, which keeps more rows than needed but loses none.
 """
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codays.fixed_values import DEFAULT_STRATEGY
 from codays.functions import CELL, PAIR, cell_block, precedes
 from codays.operators.counts import count_all_pairs, pair_counts
 from codays.operators.grid import cells_per_day
-from codays.operators.pairs import (
-    cooccurrences_blocked,
-    crowded_days,
-    triangular_pairs,
-    with_day_blocks,
-)
+from codays.operators.pairs import crowded_days, tiled_cooccurrences, with_day_blocks
 from codays.operators.result import top_pair
 from codays.session import shuffle_width, staged
 
@@ -40,8 +40,8 @@ BANDS_PER_LEVEL = 64
 DIRECT_PAIRS_PER_TASK = 4_000_000
 
 
-class Opening(NamedTuple):
-    """The best pair among the seed cells and its number of days."""
+class Known(NamedTuple):
+    """A pair and the number of days it is known to share."""
 
     lat1: float
     lon1: float
@@ -61,66 +61,156 @@ def shared_activity(unique: DataFrame) -> DataFrame:
     return shared.join(cells, CELL).select(*CELL, "date", "n_cells", "n_days")
 
 
-def _most_active(rows: DataFrame) -> DataFrame:
-    cells = rows.select(*CELL, "n_days").distinct()
-    return cells.orderBy(F.desc("n_days"), *CELL).limit(SEED_CELLS).select(*CELL)
-
+def opening(activity: DataFrame) -> Known | None:
+    """A floor for the maximum: the best pair among a few seed cells.
 
-def opening(activity: DataFrame) -> Opening | None:
-    """A floor for the maximum: the best pair of the most active cells.
-
-    Seeds are the most active cells overall and on the most crowded day. The
-    latter share that day, so there is a pair whenever any two cells meet.
+    Seeds are the most active cells of all, and the most active and the first
+    cells of the most crowded day. The latter share that day, so there is a
+    pair whenever any two cells meet.
     """
     crowded = activity.agg(F.max(F.struct("n_cells", "date")).alias("top")).select("top.date")
     on_crowded = activity.where(F.col("date") == crowded.scalar())
-    seeds = _most_active(activity).union(_most_active(on_crowded)).distinct()
-    # At most two times SEED_CELLS rows, so broadcasting them is safe at any scale.
+
+    def leading(rows: DataFrame, *order: Column | str) -> DataFrame:
+        cells = rows.select(*CELL, "n_days").distinct()
+        return cells.orderBy(*order).limit(SEED_CELLS).select(*CELL)
+
+    most_active = (F.desc("n_days"), *CELL)
+    seeds = (
+        leading(activity, *most_active)
+        .union(leading(on_crowded, *most_active))
+        .union(leading(on_crowded, *CELL))
+        .distinct()
+    )
+    # At most three times SEED_CELLS rows, so broadcasting them is safe at any scale.
     rows = activity.join(F.broadcast(seeds), CELL).select(*CELL, "date")
-    left = rows.toDF("lat1", "lon1", "date")
-    right = rows.toDF("lat2", "lon2", "date")
-    pairs = left.join(right, "date").where(precedes(*[F.col(c) for c in PAIR]))
+    met = rows.toDF("lat1", "lon1", "date").join(rows.toDF("lat2", "lon2", "date"), "date")
+    pairs = met.where(precedes(*[F.col(c) for c in PAIR]))
     best = top_pair(pair_counts(pairs, "reducebykey")).first()
-    return None if best is None else Opening(*best)
-
+    return None if best is None else Known(*best)
+
+
+def first_pair(activity: DataFrame) -> DataFrame:
+    """The first of all pairs in pair order, from the two first cells of each day."""
+    cell = F.struct(*CELL)
+    firsts = activity.groupBy("date").agg(F.min(cell).alias("a"))
+    seconds = (
+        activity.join(firsts, "date")
+        .where(cell > F.col("a"))
+        .groupBy("date", "a")
+        .agg(F.min(cell).alias("b"))
+    )
+    return (
+        seconds.orderBy("a", "b")
+        .limit(1)
+        .select(
+            F.col("a.lat").alias("lat1"),
+            F.col("a.lon").alias("lon1"),
+            F.col("b.lat").alias("lat2"),
+            F.col("b.lon").alias("lon2"),
+        )
+    )
 
-def prefix_rows(activity: DataFrame, floor: int) -> DataFrame:
-    """The rows of each cell that a pair sharing ``floor`` days must meet in.
 
-    ``strict`` marks those enough for more than ``floor`` days.
-    """
+def ranked_rows(activity: DataFrame, floor: int) -> DataFrame:
+    """Rows of cells with at least ``floor`` days, with ``later`` for each."""
     level = F.floor(F.log2("n_cells")) * BANDS_PER_LEVEL
     band = level + F.pmod(F.xxhash64("date"), F.lit(BANDS_PER_LEVEL))
     rows = activity.where(F.col("n_days") >= floor).withColumn("band", band)
     sizes = rows.groupBy(*CELL, "n_days", "band").agg(F.count("*").alias("k"))
     before = Window.partitionBy(*CELL).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = (
-        sizes.withColumn("earlier", F.coalesce(F.sum("k").over(before), F.lit(0)))
-        .where(F.col("earlier") <= F.col("n_days") - floor)
-        .select(*CELL, "band", (F.col("earlier") < F.col("n_days") - floor).alias("strict"))
+    earlier = F.coalesce(F.sum("k").over(before), F.lit(0))
+    bands = sizes.select(*CELL, "band", (F.col("n_days") - earlier - 1).alias("later"))
+    return rows.join(bands, [*CELL, "band"]).select(*CELL, "date", "n_days", "later")
+
+
+def _least_slack(rows: DataFrame, most: int, budget: int, left: Column | None = None) -> int:
+    """The least slack whose pairs number at most ``budget``, or twice the fewest possible.
+
+    Pairs are counted from rows per day. With ``left``, they join the rows
+    where it holds with all rows.
+    """
+    slacks = sorted({0, most, *(2**k for k in range(most.bit_length()) if 2**k < most)})
+    kept = {s: F.col("later") >= s for s in slacks}
+    sizes = [F.count_if(kept[s]).alias(f"m{s}") for s in slacks]
+    if left is None:
+        meetings = [F.expr(f"double(m{s}) * (m{s} - 1) / 2") for s in slacks]
+    else:
+        sizes += [F.count_if(kept[s] & left).alias(f"l{s}") for s in slacks]
+        meetings = [F.expr(f"double(l{s}) * m{s}") for s in slacks]
+    per_day = rows.groupBy("date").agg(*sizes)
+    costs = [cost or 0 for cost in per_day.agg(*map(F.sum, meetings)).first()]
+    limit = max(budget, 2 * costs[-1])
+    return next(s for s, cost in zip(slacks, costs) if cost <= limit)
+
+
+def _days_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """All (pair, day) rows of ``pairs``, which carry n_days1 and n_days2.
+
+    Walks the days of the cell that has fewer of them and looks up the other,
+    so a cell that is in very many pairs is mostly the one looked up.
+    """
+    one_fewer = F.col("n_days1") <= F.col("n_days2")
+
+    def end(name: str, first: bool) -> Column:
+        one, two = F.col(f"{name}1"), F.col(f"{name}2")
+        return F.when(one_fewer, one).otherwise(two) if first else F.when(one_fewer, two).otherwise(one)
+
+    walk = pairs.select(
+        *PAIR,
+        *[end(c, True).alias(c) for c in CELL],
+        *[end(c, False).alias(f"other_{c}") for c in CELL],
+    )
+    days = rows.select(*CELL, "date")
+    others = days.toDF("other_lat", "other_lon", "date")
+    return (
+        walk.join(days, CELL)
+        .join(others, ["other_lat", "other_lon", "date"], "left_semi")
+        .select(*PAIR, "date")
     )
-    return rows.join(bands, [*CELL, "band"]).select(*CELL, "date", "n_days", "strict")
 
 
-def _above_floor(prefix: DataFrame, width: int) -> DataFrame:
-    """Pairs that may share more days than the floor."""
-    strict = prefix.where("strict").select(*CELL, "date", "n_days")
-    blocked = with_day_blocks(strict, crowded_days(strict))
-    return triangular_pairs(blocked, width, carry=("n_days",)).drop("date")
+def _with_cell_days(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    cells = rows.select(*CELL, "n_days").distinct()
+    return pairs.join(cells.toDF("lat1", "lon1", "n_days1"), ["lat1", "lon1"]).join(
+        cells.toDF("lat2", "lon2", "n_days2"), ["lat2", "lon2"]
+    )
 
 
-def _at_floor(prefix: DataFrame, best: Opening, width: int) -> DataFrame:
-    """Pairs not after the known one in pair order that may share as many days."""
-    first, second = (F.lit(best.lat1), F.lit(best.lon1)), (F.lit(best.lat2), F.lit(best.lon2))
+def counts_above(
+    ranked: DataFrame, floor: int, strategy: str, width: int, budget: int
+) -> DataFrame:
+    """Counts of all pairs that share more than ``floor`` days."""
+    able = ranked.where(F.col("n_days") > floor)
+    slack = _least_slack(able, floor, budget)
+    tiled = tiled_cooccurrences(able.where(F.col("later") >= slack), width)
+    if slack == 0:
+        return pair_counts(tiled, strategy, within=("i", "j")).where(F.col("n") > floor)
+    likely = pair_counts(tiled, "reducebykey", within=("i", "j")).where(F.col("n") > floor - slack)
+    pairs = _with_cell_days(likely.select(*PAIR), able)
+    return pair_counts(_days_of(pairs, able), strategy).where(F.col("n") > floor)
+
+
+def counts_at(
+    ranked: DataFrame, known: Known, strategy: str, width: int, budget: int
+) -> DataFrame:
+    """Counts of pairs up to ``known`` in pair order that share at least as many days.
+
+    Rows of the few cells up to the known first cell join all rows; a crowded
+    day's rows are split by salt and the few are repeated for each salt.
+    """
+    first, second = (F.lit(known.lat1), F.lit(known.lon1)), (F.lit(known.lat2), F.lit(known.lon2))
     lat1, lon1, lat2, lon2 = [F.col(c) for c in PAIR]
-    crowded = crowded_days(prefix)
-    few = prefix.where(~precedes(*first, F.col("lat"), F.col("lon")))
-    left = with_day_blocks(few, crowded).select(
+    up_to_first = ~precedes(*first, F.col("lat"), F.col("lon"))
+    slack = _least_slack(ranked, known.n - 1, budget, up_to_first)
+    rows = ranked.where(F.col("later") >= slack)
+    crowded = crowded_days(rows)
+    left = with_day_blocks(rows.where(up_to_first), crowded).select(
         "date",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
         *[F.col(c).alias(f"{c}1") for c in (*CELL, "n_days")],
     )
-    right = with_day_blocks(prefix, crowded).select(
+    right = with_day_blocks(rows, crowded).select(
         "date",
         cell_block(F.col("blocks")).cast("int").alias("salt"),
         *[F.col(c).alias(f"{c}2") for c in (*CELL, "n_days")],
@@ -128,44 +218,41 @@ def _at_floor(prefix: DataFrame, best: Opening, width: int) -> DataFrame:
     keys = ["date", "salt"]
     met = left.repartition(width, *keys).join(right.repartition(width, *keys), keys)
     not_after = precedes(lat1, lon1, *first) | ~precedes(*second, lat2, lon2)
-    return met.where(precedes(lat1, lon1, lat2, lon2) & not_after).drop(*keys)
+    likely = (
+        met.where(precedes(lat1, lon1, lat2, lon2) & not_after)
+        .groupBy(*PAIR, "n_days1", "n_days2")
+        .agg(F.count("*").alias("k"))
+        .where(F.col("k") >= known.n - slack)
+    )
+    return pair_counts(_days_of(likely, ranked), strategy).where(F.col("n") >= known.n)
 
 
-def contender_instances(unique: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """All (pair, day) rows of the pairs that may be the most frequent one.
+def contender_counts(
+    unique: DataFrame,
+    strategy: str = DEFAULT_STRATEGY,
+    num_partitions: int | None = None,
+    pairs_per_task: int = DIRECT_PAIRS_PER_TASK,
+) -> DataFrame:
+    """Full counts of the pairs that may be the most frequent one.
 
-    A subset of ``cooccurrences``: complete for every pair in it, and the pair
-    with the most days, first in pair order among equals, is always in it.
+    A subset of ``count_all_pairs`` that always holds the pair with the most
+    days, first in pair order among equals.
     """
-    spark = unique.sparkSession
-    width = shuffle_width(spark, num_partitions)
+    width = shuffle_width(unique.sparkSession, num_partitions)
+    budget = pairs_per_task * width
     activity = staged(shared_activity(unique), "activity")
-    best = opening(activity)
-    if best is None:
-        return cooccurrences_blocked(unique.where(F.lit(False)), 1, width)
-
-    prefix = staged(prefix_rows(activity, best.n), "prefix")
-    columns = [*PAIR, "n_days1", "n_days2"]
-    pairs = (
-        _above_floor(prefix, width)
-        .select(*columns)
-        .union(_at_floor(prefix, best, width).select(*columns))
-        .distinct()
-    )
-    # Walk the days of the cell that has fewer of them and look up the other.
-    one_fewer = F.col("n_days1") <= F.col("n_days2")
-    walk = pairs.select(
-        *PAIR,
-        *[F.when(one_fewer, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(c) for c in CELL],
-        *[F.when(one_fewer, F.col(f"{c}2")).otherwise(F.col(f"{c}1")).alias(f"other_{c}") for c in CELL],
-    )
-    days = activity.where(F.col("n_days") >= best.n).select(*CELL, "date")
-    others = days.toDF("other_lat", "other_lon", "date")
-    return (
-        walk.join(days, CELL)
-        .join(others, ["other_lat", "other_lon", "date"], "left_semi")
-        .select(*PAIR, "date")
-    )
+    known = opening(activity)
+    if known is None:
+        return count_all_pairs(unique.where(F.lit(False)), strategy, width)
+
+    ranked = staged(ranked_rows(activity, known.n), "ranked")
+    above = staged(counts_above(ranked, known.n, strategy, width, budget), "above")
+    if not above.isEmpty():
+        return above
+    if known.n == 1:
+        # No pair has a second day, so the first of all pairs is the winner.
+        return first_pair(activity).withColumn("n", F.lit(1).cast("long"))
+    return counts_at(ranked, known, strategy, width, budget)
 
 
 def number_of_pairs(unique: DataFrame) -> int:
@@ -188,4 +275,4 @@ def most_frequent_pair(
     width = shuffle_width(unique.sparkSession, num_partitions)
     if number_of_pairs(unique) <= direct_pairs_per_task * width:
         return top_pair(count_all_pairs(unique, strategy, num_partitions))
-    return top_pair(pair_counts(contender_instances(unique, num_partitions), strategy))
+    return top_pair(contender_counts(unique, strategy, num_partitions, direct_pairs_per_task))

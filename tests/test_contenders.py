@@ -3,13 +3,14 @@ import random
 import pytest
 
 from codays.operators.contenders import (
-    contender_instances,
+    contender_counts,
     most_frequent_pair,
     opening,
+    ranked_rows,
     shared_activity,
 )
-from codays.operators.counts import pair_counts
-from codays.operators.result import top_pair, top_pair_dates
+from codays.operators.result import top_pair_dates
+from codays.session import staged
 
 import brute
 from brute import rows
@@ -55,6 +56,11 @@ def no_pair_twice(rng):
     return {(*cell(i), day(i // 3)) for i in range(150)}
 
 
+def copies(rng):
+    rest = {(*cell(i), day(rng.randrange(60))) for i in range(200) for _ in range(6)}
+    return rest | {(*cell(500 + i), day(d)) for i in range(80) for d in (3, 9, 40)}
+
+
 def tie_far_from_the_seeds(rng):
     busy = {(*cell(1000 + i), day(d)) for i in range(40) for d in range(2)}
     early = {(*cell(i), day(10 + i // 2)) for i in range(20)} | {
@@ -63,25 +69,30 @@ def tie_far_from_the_seeds(rng):
     return busy | early
 
 
-CASES = [uniform, long_tail, hot_day, hot_cell, single_day, all_tied, no_pair_twice, tie_far_from_the_seeds]
+CASES = [uniform, long_tail, hot_day, hot_cell, single_day, all_tied, no_pair_twice, copies, tie_far_from_the_seeds]
 
 
 @pytest.mark.parametrize("make", CASES, ids=lambda f: f.__name__)
-def test_pruned_winner_equals_brute_force(spark, make):
+@pytest.mark.parametrize("budget", [0, 10**6], ids=["tight", "ample"])
+def test_pruned_winner_equals_brute_force(spark, make, budget):
     data = make(random.Random(11))
-    unique = spark.createDataFrame(sorted(data), UNIQUE)
-    contenders = contender_instances(unique).cache()
-    kept, complete = rows(contenders), brute.instances(data)
-    assert rows(top_pair(pair_counts(contenders, "3"))) == [brute.winner(data)]
-    # Each pair that is kept has all of its days, once.
-    pairs = {row[:4] for row in kept}
-    assert kept == [row for row in complete if row[:4] in pairs]
-    contenders.unpersist()
+    unique = staged(spark.createDataFrame(sorted(data), UNIQUE), "unique")
+    kept = rows(contender_counts(unique, "3", pairs_per_task=budget))
+    expected = brute.counts(data)
+    assert min(kept, key=lambda row: (-row[4], row)) == brute.winner(data)
+    assert all(expected[row[:4]] == row[4] for row in kept)
+    assert len(kept) == len({row[:4] for row in kept})
 
 
 def test_a_crowded_day_is_not_expanded(spark):
     unique = spark.createDataFrame(sorted(single_day(None)), UNIQUE)
-    assert contender_instances(unique).count() < 50
+    assert contender_counts(unique, pairs_per_task=0).count() == 1
+
+
+def test_slack_leaves_the_crowded_day_aside(spark):
+    ranked = ranked_rows(shared_activity(spark.createDataFrame(sorted(hot_day(random.Random(2))), UNIQUE)), 2)
+    assert ranked.where("later >= 1 and date = '2000-01-01'").count() == 0
+    assert ranked.where("later >= 0 and date = '2000-01-01'").count() > 100
 
 
 def test_both_ways_to_the_winner_agree(spark):
@@ -99,8 +110,8 @@ def test_opening_is_a_count_that_occurs(spark):
 
 def test_without_pairs(spark):
     lonely = spark.createDataFrame([(1.0, 1.0, day(0)), (2.0, 2.0, day(1))], UNIQUE)
-    assert contender_instances(lonely).columns == ["lat1", "lon1", "lat2", "lon2", "date"]
-    assert contender_instances(lonely).count() == 0
+    assert contender_counts(lonely).columns == ["lat1", "lon1", "lat2", "lon2", "n"]
+    assert contender_counts(lonely).count() == 0
     for limit in (0, 10**9):
         assert most_frequent_pair(lonely, direct_pairs_per_task=limit).count() == 0
         assert most_frequent_pair(lonely.where("false"), direct_pairs_per_task=limit).count() == 0
