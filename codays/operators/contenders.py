@@ -37,7 +37,8 @@ from codays.session import shuffle_width, staged
 
 SEED_CELLS = 32
 BANDS_PER_LEVEL = 64
-DIRECT_PAIRS_PER_TASK = 4_000_000
+PAIRS_PER_TASK = 2_000_000
+MOST_TASKS = 20_000
 
 
 class Known(NamedTuple):
@@ -124,10 +125,12 @@ def ranked_rows(activity: DataFrame, floor: int) -> DataFrame:
     return rows.join(bands, [*CELL, "band"]).select(*CELL, "date", "n_days", "later")
 
 
-def _least_slack(rows: DataFrame, most: int, budget: int, left: Column | None = None) -> int:
-    """The least slack whose pairs number at most ``budget``, or twice the fewest possible.
+def least_slack(
+    rows: DataFrame, most: int, budget: int, left: Column | None = None
+) -> tuple[int, int]:
+    """The least slack that forms at most ``budget`` pairs, or twice the fewest possible.
 
-    Pairs are counted from rows per day. With ``left``, they join the rows
+    Returned with its number of pairs, which follows from the rows per day. With ``left``, they join the rows
     where it holds with all rows.
     """
     slacks = sorted({0, most, *(2**k for k in range(most.bit_length()) if 2**k < most)})
@@ -141,7 +144,12 @@ def _least_slack(rows: DataFrame, most: int, budget: int, left: Column | None =
     per_day = rows.groupBy("date").agg(*sizes)
     costs = [cost or 0 for cost in per_day.agg(*map(F.sum, meetings)).first()]
     limit = max(budget, 2 * costs[-1])
-    return next(s for s, cost in zip(slacks, costs) if cost <= limit)
+    return next((s, int(cost)) for s, cost in zip(slacks, costs) if cost <= limit)
+
+
+def _tasks_for(pairs: int, width: int) -> int:
+    """Tasks to form ``pairs`` in: the given width, or more where each would get too many."""
+    return min(max(width, pairs // PAIRS_PER_TASK), max(width, MOST_TASKS))
 
 
 def _days_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -182,8 +190,9 @@ def counts_above(
 ) -> DataFrame:
     """Counts of all pairs that share more than ``floor`` days."""
     able = ranked.where(F.col("n_days") > floor)
-    slack = _least_slack(able, floor, budget)
-    tiled = tiled_cooccurrences(able.where(F.col("later") >= slack), width)
+    slack, formed = least_slack(able, floor, budget)
+    quiet = able.where(F.col("later") >= slack)
+    tiled = tiled_cooccurrences(quiet, _tasks_for(formed, width))
     if slack == 0:
         return pair_counts(tiled, strategy, within=("i", "j")).where(F.col("n") > floor)
     likely = pair_counts(tiled, "reducebykey", within=("i", "j")).where(F.col("n") > floor - slack)
@@ -202,7 +211,8 @@ def counts_at(
     first, second = (F.lit(known.lat1), F.lit(known.lon1)), (F.lit(known.lat2), F.lit(known.lon2))
     lat1, lon1, lat2, lon2 = [F.col(c) for c in PAIR]
     up_to_first = ~precedes(*first, F.col("lat"), F.col("lon"))
-    slack = _least_slack(ranked, known.n - 1, budget, up_to_first)
+    slack, formed = least_slack(ranked, known.n - 1, budget, up_to_first)
+    tasks = _tasks_for(formed, width)
     rows = ranked.where(F.col("later") >= slack)
     crowded = crowded_days(rows)
     left = with_day_blocks(rows.where(up_to_first), crowded).select(
@@ -216,7 +226,7 @@ def counts_at(
         *[F.col(c).alias(f"{c}2") for c in (*CELL, "n_days")],
     )
     keys = ["date", "salt"]
-    met = left.repartition(width, *keys).join(right.repartition(width, *keys), keys)
+    met = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
     not_after = precedes(lat1, lon1, *first) | ~precedes(*second, lat2, lon2)
     likely = (
         met.where(precedes(lat1, lon1, lat2, lon2) & not_after)
@@ -231,7 +241,7 @@ def contender_counts(
     unique: DataFrame,
     strategy: str = DEFAULT_STRATEGY,
     num_partitions: int | None = None,
-    pairs_per_task: int = DIRECT_PAIRS_PER_TASK,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Full counts of the pairs that may be the most frequent one.
 
@@ -264,7 +274,7 @@ def most_frequent_pair(
     unique: DataFrame,
     strategy: str = DEFAULT_STRATEGY,
     num_partitions: int | None = None,
-    direct_pairs_per_task: int = DIRECT_PAIRS_PER_TASK,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """The pair that shares the most days, as one row or none.
 
@@ -273,6 +283,6 @@ def most_frequent_pair(
     ``unique`` is read several times and should be a staged table.
     """
     width = shuffle_width(unique.sparkSession, num_partitions)
-    if number_of_pairs(unique) <= direct_pairs_per_task * width:
+    if number_of_pairs(unique) <= pairs_per_task * width:
         return top_pair(count_all_pairs(unique, strategy, num_partitions))
-    return top_pair(contender_counts(unique, strategy, num_partitions, direct_pairs_per_task))
+    return top_pair(contender_counts(unique, strategy, num_partitions, pairs_per_task))

@@ -82,7 +82,7 @@ def cooccurrences_blocked(
 def _block_arrays(placed: DataFrame, num_partitions: int, *partition_keys: str) -> DataFrame:
     """Per (block pair, day): the cells of both blocks as two arrays.
 
-    An array never holds more cells than its block.
+    An array holds the cells of one block on one day.
     """
     block, other = F.col("block"), F.col("other")
     cell = F.struct("lat", "lon")
@@ -124,13 +124,15 @@ def tiled_cooccurrences(
     Cells, not days, are cut into blocks, and rows are shuffled once by tile,
     a pair of blocks ``(i, j)``. A pair always falls into the same tile, so
     grouping by (i, j, pair) happens where the pairs are made and no pair is
-    shuffled.
-    The approximate cell count only sizes the blocks.
+    shuffled. There are just enough blocks for a few tiles per task and for
+    the arrays of the most crowded day to stay small: each row is repeated
+    once per block.
     """
     width = shuffle_width(unique.sparkSession, num_partitions)
-    for_parallelism = int((2 * TILES_PER_TASK * width) ** 0.5) + 1
-    for_size = F.ceil(F.approx_count_distinct(F.xxhash64("lat", "lon")) / cells_per_block)
-    blocks = unique.agg(F.greatest(for_size, F.lit(for_parallelism)).cast("int").alias("blocks"))
+    for_tasks = int((2 * TILES_PER_TASK * width) ** 0.5) + 1
+    for_arrays = F.ceil(F.max("n_cells") / cells_per_block)
+    sizes = unique.groupBy("date").agg(F.count("*").alias("n_cells"))
+    blocks = sizes.agg(F.greatest(for_arrays, F.lit(for_tasks)).cast("int").alias("blocks"))
     placed = unique.withColumn("blocks", blocks.scalar()).withColumn(
         "block", cell_block(F.col("blocks"))
     )

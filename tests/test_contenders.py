@@ -113,8 +113,8 @@ def test_without_pairs(spark):
     assert contender_counts(lonely).columns == ["lat1", "lon1", "lat2", "lon2", "n"]
     assert contender_counts(lonely).count() == 0
     for limit in (0, 10**9):
-        assert most_frequent_pair(lonely, direct_pairs_per_task=limit).count() == 0
-        assert most_frequent_pair(lonely.where("false"), direct_pairs_per_task=limit).count() == 0
+        assert most_frequent_pair(lonely, pairs_per_task=limit).count() == 0
+        assert most_frequent_pair(lonely.where("false"), pairs_per_task=limit).count() == 0
 
 
 def test_winner_days(spark):
