@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codays.functions import PAIR
+from codays.fixed_values import METRICS_FOLDER
 from codays.operators.clean import parse_events, reject_audit
 from codays.operators.contenders import contender_counts, most_frequent_pair
 from codays.operators.counts import count_all_pairs
@@ -49,7 +49,6 @@ from codays.plans.metrics import (
 )
 from codays.session import staging_path
 from codays.sinks.files import overwrite_csv
-from codays.fixed_values import METRICS_FOLDER
 from codays.sources.csv_events import load_events, read_event_csv
 from codays.sources.seismic import seismic_table
 
@@ -63,10 +62,11 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _unique(spark: SparkSession, folder: str) -> DataFrame:
-    return unique_events(grid_cells(_events(spark, folder)))
+    return valid_cell_days(cell_days(seismic_table(spark, folder)))
 
 
 def _staged_unique(spark: SparkSession, folder: str) -> DataFrame:
+    """For queries that read the unique rows more than once."""
     return valid_cell_days(load_cell_days(seismic_table(spark, folder)))
 
 
@@ -98,7 +98,7 @@ def parsed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_pair_all(spark: SparkSession, folder: str) -> DataFrame:
-    return top_pair(count_all_pairs(_unique(spark, folder)))
+    return top_pair(count_all_pairs(_staged_unique(spark, folder)))
 
 
 def top_pair_pruned(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +107,7 @@ def top_pair_pruned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
-    counts = count_all_pairs(_unique(spark, folder), "reducebykey")
+    counts = count_all_pairs(_staged_unique(spark, folder), "reducebykey")
     return with_labels(counts).select("label1", "label2", "label", "n")
 
 
@@ -163,24 +163,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_events": parsed,
         "reject_audit": lambda spark, folder: reject_audit(seismic_table(spark, folder)),
         "grid_cells": lambda spark, folder: grid_cells(_events(spark, folder)),
-        "unique_events": _unique,
+        "unique_events": lambda spark, folder: unique_events(grid_cells(_events(spark, folder))),
         "repartitioned_events": lambda spark, folder: repartitioned(_unique(spark, folder), 8),
         "cells_per_day": lambda spark, folder: cells_per_day(_unique(spark, folder)),
         "row_counts": lambda spark, folder: row_counts(cell_days(seismic_table(spark, folder))),
-        "cooccurrences": lambda spark, folder: cooccurrences(_unique(spark, folder)),
-        "cooccurrences_array": lambda spark, folder: cooccurrences_array(_unique(spark, folder)),
+        "cooccurrences": lambda spark, folder: cooccurrences(_staged_unique(spark, folder)),
+        "cooccurrences_array": lambda spark, folder: cooccurrences_array(
+            _staged_unique(spark, folder)
+        ),
         "cooccurrences_blocked": lambda spark, folder: cooccurrences_blocked(
-            _unique(spark, folder), 4
+            _staged_unique(spark, folder), 4
         ),
-        "canonical_pairs": lambda spark, folder: canonical_pairs(_unique(spark, folder)),
+        "canonical_pairs": lambda spark, folder: canonical_pairs(_staged_unique(spark, folder)),
         "pair_counts_group": lambda spark, folder: count_all_pairs(
-            _unique(spark, folder), "groupbykey"
+            _staged_unique(spark, folder), "groupbykey"
         ),
         "pair_counts_aggregate": lambda spark, folder: count_all_pairs(
-            _unique(spark, folder), "aggregatebykey"
+            _staged_unique(spark, folder), "aggregatebykey"
         ),
         "pair_counts_reduce": lambda spark, folder: count_all_pairs(
-            _unique(spark, folder), "reducebykey"
+            _staged_unique(spark, folder), "reducebykey"
         ),
         "top_pair": lambda spark, folder: most_frequent_pair(_staged_unique(spark, folder)),
         "top_pair_all": top_pair_all,

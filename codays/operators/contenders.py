@@ -226,7 +226,8 @@ def counts_at(
         *[F.col(c).alias(f"{c}2") for c in (*CELL, "n_days")],
     )
     keys = ["date", "salt"]
-    met = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
+    # Sizes are estimated before the explode, so a broadcast must not be chosen here.
+    met = left.repartition(tasks, *keys).hint("merge").join(right.repartition(tasks, *keys), keys)
     not_after = precedes(lat1, lon1, *first) | ~precedes(*second, lat2, lon2)
     likely = (
         met.where(precedes(lat1, lon1, lat2, lon2) & not_after)

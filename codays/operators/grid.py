@@ -24,7 +24,7 @@ def unique_events(cells: DataFrame) -> DataFrame:
 
 
 def cell_days(raw: DataFrame) -> DataFrame:
-    """One row per cell and day with its number of raw rows, in one pass.
+    """One row per cell and day with its numbers of raw and valid rows, in one pass.
 
     All rejected rows share the null key, so raw, valid and unique counts
     all follow from this one aggregate. Map-side combining keeps a cell, a day
@@ -35,13 +35,17 @@ def cell_days(raw: DataFrame) -> DataFrame:
     return (
         cells.select(*[F.when(valid, F.col(c)).alias(c) for c in ("lat", "lon", "date")])
         .groupBy("lat", "lon", "date")
-        .agg(F.count("*").alias("n_rows"))
+        .agg(F.count("*").alias("n_rows"), F.count("date").alias("n_valid"))
     )
 
 
 def valid_cell_days(days: DataFrame) -> DataFrame:
-    """The unique (cell, day) rows of ``cell_days``."""
-    return days.where(F.col("date").isNotNull()).select("lat", "lon", "date")
+    """The unique (cell, day) rows of ``cell_days``.
+
+    Filtering on a count keeps the filter above the aggregate; one on the key
+    would be pushed down and parse every raw row a second time.
+    """
+    return days.where("n_valid > 0").select("lat", "lon", "date")
 
 
 def cells_per_day(unique: DataFrame) -> DataFrame:
@@ -57,9 +61,10 @@ def cells_per_day(unique: DataFrame) -> DataFrame:
 
 def row_counts(days: DataFrame) -> DataFrame:
     """Raw, valid, total, unique and co-occurrence counts from ``cell_days``."""
-    valid = F.col("date").isNotNull()
     per_day = days.groupBy("date").agg(
-        F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_cells")
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_valid").alias("n_valid"),
+        F.count_if(F.col("n_valid") > 0).alias("n_cells"),
     )
 
     def total(value):
@@ -67,10 +72,10 @@ def row_counts(days: DataFrame) -> DataFrame:
 
     return per_day.agg(
         total(F.col("n_rows")).alias("raw_rows"),
-        total(F.when(valid, F.col("n_rows"))).alias("valid_rows"),
-        total(F.when(valid, F.col("n_rows"))).alias("total_events"),
-        total(F.when(valid, F.col("n_cells"))).alias("unique_events"),
-        total(F.when(valid, F.expr("n_cells * (n_cells - 1) div 2"))).alias("co_occurrences"),
+        total(F.col("n_valid")).alias("valid_rows"),
+        total(F.col("n_valid")).alias("total_events"),
+        total(F.col("n_cells")).alias("unique_events"),
+        total(F.expr("n_cells * (n_cells - 1) div 2")).alias("co_occurrences"),
     )
 
 

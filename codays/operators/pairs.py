@@ -4,6 +4,9 @@ A day with ``n`` cells has ``n (n - 1) / 2`` pairs, so a crowded day cannot be
 left to one task. Every form below cuts cells into hash blocks and gives each
 pair of blocks its own join key, which bounds the work behind one key by the
 block size however the rows are spread over days.
+
+The unique (cell, day) rows are read more than once, so they should come from
+a staged table.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -57,7 +60,8 @@ def triangular_pairs(
         & (F.col("j1") == F.col("j2"))
         & ((F.col("i1") < F.col("j1")) | precedes(*[F.col(c) for c in PAIR]))
     )
-    return left.join(right, meet).select(
+    # Sizes are estimated before the explode, so a broadcast must not be chosen here.
+    return left.hint("merge").join(right, meet).select(
         *ordered_pair(*[F.col(c) for c in PAIR], carry=carry), F.col("date1").alias("date")
     )
 

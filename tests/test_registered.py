@@ -55,6 +55,12 @@ def test_pairs_are_counted_where_they_are_made(spark, sf_small, name):
     assert plan[plan.index("Exchange") :].startswith("Exchange hashpartitioning(i")
 
 
+def test_block_pairs_are_never_broadcast(spark, sf_small):
+    for name in ("cooccurrences", "cooccurrences_blocked"):
+        plan = plan_of(QUERIES[name](spark, sf_small))
+        assert re.search(r"SortMergeJoin \[date1#\d+, i1#\d+L?, j1#\d+L?\]", plan)
+
+
 def test_scan_reads_only_the_columns_it_needs(spark, sf_small):
     plan = plan_of(QUERIES["unique_events"](spark, sf_small))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
