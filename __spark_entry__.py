@@ -71,7 +71,7 @@ def _staged_unique(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _analysis(spark: SparkSession, folder: str) -> DataFrame:
-    return analyse(seismic_table(spark, folder))
+    return analyse(seismic_table(spark, folder), "reducebykey")
 
 
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,12 +98,13 @@ def parsed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_pair_all(spark: SparkSession, folder: str) -> DataFrame:
-    return top_pair(count_all_pairs(_staged_unique(spark, folder)))
+    return top_pair(count_all_pairs(_staged_unique(spark, folder), "reducebykey"))
 
 
 def top_pair_pruned(spark: SparkSession, folder: str) -> DataFrame:
     # No pair budget, so that the pruned way is taken even on small data.
-    return top_pair(contender_counts(_staged_unique(spark, folder), pairs_per_task=0))
+    unique = _staged_unique(spark, folder)
+    return top_pair(contender_counts(unique, "reducebykey", pairs_per_task=0))
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,7 +114,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def winner_dates(spark: SparkSession, folder: str) -> DataFrame:
     days = load_cell_days(seismic_table(spark, folder))
-    return top_pair_dates(valid_cell_days(days), winning_pair(days))
+    return top_pair_dates(valid_cell_days(days), winning_pair(days, "reducebykey"))
 
 
 def analysis_row(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,7 +122,7 @@ def analysis_row(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fixed_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    result = _analysis(spark, folder)
+    result = analyse(seismic_table(spark, folder), "groupbykey")
     return metrics_row(result, "groupbykey", 1, 8, LOAD_MS, ANALYSIS_MS, FINISHED_MS)
 
 
@@ -184,7 +185,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_counts_reduce": lambda spark, folder: count_all_pairs(
             _staged_unique(spark, folder), "reducebykey"
         ),
-        "top_pair": lambda spark, folder: most_frequent_pair(_staged_unique(spark, folder)),
+        "top_pair": lambda spark, folder: most_frequent_pair(
+            _staged_unique(spark, folder), "reducebykey"
+        ),
         "top_pair_all": top_pair_all,
         "top_pair_pruned": top_pair_pruned,
         "pair_label": labels,
