@@ -52,6 +52,17 @@ from codays.sinks.files import overwrite_csv
 from codays.sources.csv_events import load_events, read_event_csv
 from codays.sources.seismic import seismic_table
 
+try:  # the operators of training-data pipelines are an optional part
+    import corpus_pipeline
+    from codays.llm.queries import LLM_QUERIES, LLM_SQL
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "codays.llm", "codays.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_SQL, PIPELINE_QUERIES, PIPELINE_SQL = {}, {}, {}, {}
+else:
+    PIPELINE_QUERIES = {"pipeline": corpus_pipeline.run}
+    PIPELINE_SQL = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 # Timings of the metrics queries, fixed so that their rows can be checked.
 LOAD_MS, ANALYSIS_MS, FINISHED_MS = 1500, 3500, 1704067200000
@@ -200,6 +211,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "overwrite_sink": overwrite_sink,
         "run_metrics": lambda spark, folder: timed_run(seismic_table(spark, folder)).metrics,
         "strategy_sweep": sweep,
+        **LLM_QUERIES,
+        **PIPELINE_QUERIES,
     }
 
 
@@ -383,4 +396,6 @@ def oracle_sql() -> dict[str, str]:
             FROM totals, top,
               (VALUES ('GroupByKey'), ('AggregateByKey'), ('ReduceByKey')) s(approach),
               (VALUES (8), (16)) p(num_partitions)""",
+        **LLM_SQL,
+        **PIPELINE_SQL,
     }
