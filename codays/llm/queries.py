@@ -2,10 +2,23 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
 from codays.llm.mixing import mixture, mixture_sql
+from codays.llm.token_counts import count_tokens
+
+
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = with_forged_markers(table(spark, folder, "conversations"))
+    return read_back(format_conversations(rows))
+
+
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return count_tokens(table(spark, folder, "documents"), vocabulary)
 
 
 def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
@@ -13,6 +26,8 @@ def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
+    "op2_token_counts": op2_token_counts,
     "op9_mixture": op9_mixture,
 }
 
