@@ -9,6 +9,7 @@ from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.token_counts import count_tokens
+from codays.llm.top_k import nearest_rows, nearest_rows_sql
 
 
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary)
 
 
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_rows(table(spark, folder, "embeddings"))
+
+
 def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents"))
 
@@ -28,9 +33,11 @@ def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
+    "op5_exact_top_k": op5_exact_top_k,
     "op9_mixture": op9_mixture,
 }
 
 LLM_SQL: dict[str, str] = {
+    "op5_exact_top_k": nearest_rows_sql(),
     "op9_mixture": mixture_sql(),
 }
