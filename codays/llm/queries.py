@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
 from codays.llm.mixing import mixture, mixture_sql
+from codays.llm.pivots import near_duplicates
 from codays.llm.token_counts import count_tokens
 from codays.llm.top_k import nearest_rows, nearest_rows_sql
 
@@ -22,6 +23,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary)
 
 
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_rows(table(spark, folder, "embeddings"))
 
@@ -33,6 +38,7 @@ def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
+    "op3_near_vectors": op3_near_vectors,
     "op5_exact_top_k": op5_exact_top_k,
     "op9_mixture": op9_mixture,
 }
