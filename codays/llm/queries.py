@@ -10,6 +10,7 @@ from codays.llm.common import table
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.pivots import near_duplicates
 from codays.llm.token_counts import count_tokens
+from codays.llm.toxicity import toxicity
 from codays.llm.top_k import nearest_rows, nearest_rows_sql
 
 
@@ -27,6 +28,10 @@ def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_rows(table(spark, folder, "embeddings"))
 
@@ -39,6 +44,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
     "op3_near_vectors": op3_near_vectors,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
     "op9_mixture": op9_mixture,
 }
