@@ -8,6 +8,7 @@ adaptive execution may split, so a node with very many edges is no obstacle.
 Every round is a written table, read by the next one.
 """
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +37,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node with an edge.
 
-    ``edges`` has two columns of node numbers, in any order and repeated at will;
-    rows with a null and loops are left out.
+    ``edges`` has two columns of nodes of one orderable type, in any order and
+    repeated at will; rows with a null and loops are left out.
     """
     one, two = edges.columns
     ordered = edges.where(F.col(one) != F.col(two)).select(
-        F.greatest(one, two).cast("long").alias("a"), F.least(one, two).cast("long").alias("b")
+        F.greatest(one, two).alias("a"), F.least(one, two).alias("b")
     )
     stars = staged(ordered.distinct(), "stars")
     state = _state(stars)
@@ -53,3 +54,17 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
     centres = stars.select(F.col("b").alias("node")).distinct()
     return stars.toDF("node", "component").union(centres.select("node", F.col("node").alias("component")))
+
+
+def smallest_linked(one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places the smallest place it hangs together with."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[one], label[two])
+        now = label.copy()
+        np.minimum.at(now, one, low)
+        np.minimum.at(now, two, low)
+        now = now[now]
+        if (now == label).all():
+            return label
+        label = now

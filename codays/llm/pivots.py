@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codays.llm.components import components
+from codays.llm.components import components, smallest_linked
 from codays.session import shuffle_width, staged
 
 LEAST_COSINE = 0.9
@@ -83,20 +83,6 @@ def named_pivots(rows: np.ndarray, pivots: np.ndarray, named: int = NAMED_PIVOTS
     return np.argsort(-(rows @ pivots.T), axis=1, kind="stable")[:, :named].astype(np.int32)
 
 
-def _smallest_linked(one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
-    """For each of n places the smallest place it hangs together with."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[one], label[two])
-        now = label.copy()
-        np.minimum.at(now, one, low)
-        np.minimum.at(now, two, low)
-        now = now[now]
-        if (now == label).all():
-            return label
-        label = now
-
-
 def block_links(
     group: pd.DataFrame, pivot: int, same: bool, least: float, shared: int
 ) -> pd.DataFrame:
@@ -130,7 +116,7 @@ def block_links(
     one, two = np.concatenate(ones or [np.array([], int)]), np.concatenate(twos or [np.array([], int)])
     links = np.bincount(one, weights=copies[two], minlength=len(group))
     links += np.bincount(two, weights=copies[one], minlength=len(group))
-    root = _smallest_linked(one, two, len(group))
+    root = smallest_linked(one, two, len(group))
     linked = links > 0
     node = group["node"].to_numpy()
     return pd.DataFrame(

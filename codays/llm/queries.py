@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
+from codays.llm.forest import jaccard_join
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.pivots import near_duplicates
 from codays.llm.token_counts import count_tokens
@@ -36,6 +37,10 @@ def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_rows(table(spark, folder, "embeddings"))
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(table(spark, folder, "documents"))
+
+
 def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents"))
 
@@ -46,6 +51,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_vectors": op3_near_vectors,
     "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_mixture": op9_mixture,
 }
 

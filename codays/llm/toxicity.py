@@ -167,18 +167,21 @@ def evidence(passages: list[tuple[int, int, float]]) -> tuple[float, float]:
 
 
 def fit_extreme_values(best: np.ndarray, sizes: np.ndarray) -> tuple[float, float]:
-    """lambda and ln K of the law of best segment scores among clean texts."""
+    """lambda and ln K of the law of best segment scores among clean texts.
+
+    Fitted to the quartiles, so that a few mislabelled texts do not bend it.
+    """
     decay = 1.0
-    if len(best) < 2 or float(best.std()) == 0:
+    if len(best) < 2:
         return decay, 0.0
+    low, middle, high = (-np.log(-np.log(q)) for q in (0.25, 0.5, 0.75))
     for _ in range(50):
-        free = best - np.log(sizes) / decay
-        now = float(np.pi / (np.sqrt(6) * max(free.std(), 1e-3)))
+        below, above = np.quantile(best - np.log(sizes) / decay, [0.25, 0.75])
+        now = float((high - low) / max(above - below, 1e-3))
         if abs(now - decay) < 1e-6:
             break
-        decay = now
-    # The mean of a standard extreme-value variable is Euler's constant.
-    return decay, float(decay * (best - np.log(sizes) / decay).mean() - np.euler_gamma)
+        decay = (decay + now) / 2
+    return decay, float(decay * np.quantile(best - np.log(sizes) / decay, 0.5) - middle)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
