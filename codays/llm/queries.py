@@ -5,6 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from codays.llm.byte_bpe import round_trip
 from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
 from codays.llm.forest import jaccard_join
@@ -45,6 +46,11 @@ def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
@@ -53,6 +59,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_top_k": op5_exact_top_k,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixture": op9_mixture,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 LLM_SQL: dict[str, str] = {
