@@ -42,20 +42,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def _rank_of(ranks: dict[bytes, int]):
-    """A function from a column of hexadecimal pieces to their ranks."""
+def _rank_slots(ranks: dict[bytes, int]) -> Column:
+    """The literal: small maps from hexadecimal pieces to ranks, by checksum."""
     slots: list[dict[str, int]] = [{} for _ in range(SLOTS)]
     for piece, rank in ranks.items():
         name = piece.hex().upper()
         slots[zlib.crc32(name.encode()) % SLOTS][name] = rank
     # The optimiser turns this into one literal before anything runs.
-    literal = F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<map<string,int>>")
+    return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<map<string,int>>")
 
-    def rank(piece: Column) -> Column:
-        slot = (F.crc32(F.encode(piece, "utf-8")) % SLOTS + 1).cast("int")
-        return F.coalesce(F.element_at(F.element_at(literal, slot), piece), F.lit(NO_RANK))
 
-    return rank
+def _rank(slots: Column, piece: Column) -> Column:
+    slot = (F.crc32(F.encode(piece, "utf-8")) % SLOTS + 1).cast("int")
+    return F.coalesce(F.element_at(F.element_at(slots, slot), piece), F.lit(NO_RANK))
 
 
 def _bound(value: Column, body) -> Column:
@@ -63,9 +62,12 @@ def _bound(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def merged_pieces(word: Column, ranks: dict[bytes, int]) -> Column:
+def merged_pieces(word: Column, slots: Column) -> Column:
     """Hexadecimal pieces of a word after all merges."""
-    rank = _rank_of(ranks)
+
+    def rank(piece: Column) -> Column:
+        return _rank(slots, piece)
+
     hexed = F.hex(F.encode(word, "utf-8"))
     size = (F.length(hexed) / 2).cast("int")
     pieces = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(hexed, i * 2 + 1, F.lit(2)))
@@ -110,13 +112,16 @@ def merged_pieces(word: Column, ranks: dict[bytes, int]) -> Column:
 
 def encoded_word(word: Column, ranks: dict[bytes, int]) -> Column:
     """The ids of a word as little-endian unsigned 32-bit numbers, in hexadecimal."""
-    rank = _rank_of(ranks)
 
-    def little_endian(piece: Column) -> Column:
-        digits = F.lpad(F.hex(rank(piece)), 8, "0")
-        return F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)])
+    def encoded(slots: Column) -> Column:
+        def little_endian(piece: Column) -> Column:
+            digits = F.lpad(F.hex(_rank(slots, piece)), 8, "0")
+            return F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)])
+
+        return F.array_join(F.transform(merged_pieces(word, slots), little_endian), "")
 
-    return F.array_join(F.transform(merged_pieces(word, ranks), little_endian), "")
+    # Bound to a name, the literal stands in the plan once.
+    return _bound(_rank_slots(ranks), encoded)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
