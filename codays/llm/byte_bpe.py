@@ -26,10 +26,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codays.llm.common import ids_and_texts
+from codays.llm.buckets import BYTES_PER_BUCKET, dealt
 from codays.llm.shingles import in_parts
 
-BYTES_PER_BUCKET = 24_000_000
 SLOTS = 1 << 16
 NO_RANK = 2**31 - 1
 #: The fold takes time with the square of a word; longer ones are merged with a heap.
@@ -153,14 +152,6 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in pieces if p is not None]
 
 
-def _bucketed(docs: DataFrame, bytes_per_bucket: int) -> tuple[DataFrame, int]:
-    rows = ids_and_texts(docs)
-    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = max(1, -(-total // bytes_per_bucket))
-    bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
-    return rows.select(bucket.alias("bucket"), "doc_id", "text").repartition(buckets, "bucket"), buckets
-
-
 def distinct_words(bucketed: DataFrame, pattern: str) -> DataFrame:
     """(bucket, word) once per task that holds the bucket, words up to ``LONG_WORD`` bytes."""
 
@@ -193,7 +184,7 @@ def encode_documents(
     an empty table gives no rows. Only doc_id and text are read.
     """
     ranks = read_ranks(ranks_path)
-    bucketed, buckets = _bucketed(docs, bytes_per_bucket)
+    bucketed, buckets = dealt(docs, bytes_per_bucket=bytes_per_bucket)
     asked = distinct_words(bucketed, pattern).groupBy("word").agg(F.collect_set("bucket").alias("buckets"))
     known = asked.withColumn("ids", F.unhex(encoded_word(F.col("word"), ranks))).select(
         F.explode("buckets").alias("bucket"), "word", "ids"

@@ -9,6 +9,7 @@ from codays.llm.byte_bpe import round_trip
 from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
 from codays.llm.forest import jaccard_join
+from codays.llm.lm import score_texts
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.pivots import near_duplicates
 from codays.llm.token_counts import count_tokens
@@ -38,6 +39,11 @@ def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_rows(table(spark, folder, "embeddings"))
 
 
+def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return score_texts(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(table(spark, folder, "documents"))
 
@@ -57,6 +63,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_vectors": op3_near_vectors,
     "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
+    "op7_lm_scores": op7_lm_scores,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixture": op9_mixture,
     "op10_byte_bpe": op10_byte_bpe,
