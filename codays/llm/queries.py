@@ -12,6 +12,7 @@ from codays.llm.forest import jaccard_join
 from codays.llm.lm import score_texts
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.pivots import near_duplicates
+from codays.llm.suffix_dedup import remove_repeats
 from codays.llm.token_counts import count_tokens
 from codays.llm.toxicity import toxicity
 from codays.llm.top_k import nearest_rows, nearest_rows_sql
@@ -39,6 +40,10 @@ def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_rows(table(spark, folder, "embeddings"))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return score_texts(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -63,6 +68,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_vectors": op3_near_vectors,
     "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_lm_scores": op7_lm_scores,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixture": op9_mixture,
