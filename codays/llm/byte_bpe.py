@@ -159,7 +159,7 @@ def distinct_words(bucketed: DataFrame, pattern: str) -> DataFrame:
         words_in = regex.compile(pattern).findall
         found: dict[int, set[str]] = {}
         for batch in batches:
-            buckets, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts, buckets = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for part in in_parts(texts):
                 for k in part:
                     found.setdefault(buckets[k], set()).update(words_in(texts[k]))
@@ -172,7 +172,8 @@ def distinct_words(bucketed: DataFrame, pattern: str) -> DataFrame:
                     ["bucket", "word"],
                 )
 
-    return bucketed.select("bucket", "text").mapInArrow(find, "bucket int, word string")
+    # All columns are taken, so that this and the look-up read one shuffle of the texts.
+    return bucketed.mapInArrow(find, "bucket int, word string")
 
 
 def encode_documents(
