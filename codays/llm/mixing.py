@@ -104,7 +104,7 @@ def apportion(
     )
 
 
-def _draw(*parts: Column) -> Column:
+def draw(*parts: Column) -> Column:
     """A seeded 60-bit number that any engine with md5 can repeat."""
     key = F.concat_ws("|", F.lit(SEED), *[F.coalesce(p.cast("string"), F.lit("~")) for p in parts])
     return F.conv(F.substring(F.md5(F.encode(key, "utf-8")), 1, 15), 16, 10).cast("long")
@@ -164,7 +164,7 @@ def mix(
     shard = Window.partitionBy("source", "shard")
     in_order = shard.orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        sized.withColumn("draw", _draw(F.col("doc_id")))
+        sized.withColumn("draw", draw(F.col("doc_id")))
         .join(sources, F.col("source").eqNullSafe(F.col("of_source")))
         .withColumn("shard", F.col("draw") % F.col("shards"))
         .withColumn("shard_size", F.sum("size").over(shard))
@@ -189,7 +189,7 @@ def mix(
             "shard_size div blocks AS word_count",
             "shard_size % blocks AS longer",
         )
-        .withColumn("shift", _draw(F.col("shard_source"), F.col("shard_number")) % F.col("blocks"))
+        .withColumn("shift", draw(F.col("shard_source"), F.col("shard_number")) % F.col("blocks"))
     )
     return (
         placed.join(

@@ -1,24 +1,120 @@
-"""A corpus pipeline: each stage works on all that the one before kept."""
+"""A corpus pipeline: each stage works on all that the one before kept.
 
+Stages take (spark, docs, sf_dir) and return a frame with the columns of
+``docs``; the last one returns what the encoder made. ``run`` writes every
+stage's result as Parquet below the cluster's shared folder and reads it again.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codays.llm.common import table
-from codays.llm.mixing import mix
+from codays.llm.byte_bpe import decode_documents, encode_documents
+from codays.llm.common import WORD_PATTERN, table
+from codays.llm.forest import keep_one_each, text_key
+from codays.llm.mixing import draw, mix, text_size
+from codays.llm.suffix_dedup import repeated_spans
+from codays.llm.toxicity import score_texts, train
 from codays.session import staged
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, trained on their labels, does not reject."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    scored = score_texts(docs, model, "_toxicity", "_passages")
+    return scored.where(F.col("_toxicity") < 0.5).drop("_toxicity", "_passages")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return keep_one_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the long strings that occur more than once.
+
+    What is left of a text must be valid text: characters of which a part is cut
+    go. A document of which no word is left goes as well, and n_chars follows the
+    text where the column is there.
+    """
+    _, cuts = repeated_spans(docs)
+    left = cuts.select(
+        F.col("key").alias("_key"),
+        F.try_validate_utf8(F.col("kept").cast("string")).alias("_valid"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("_mended"),
+    )
+    mended = F.coalesce("_valid", F.regexp_replace("_mended", "�", ""))
+    joined = docs.withColumn("_key", text_key()).join(left, "_key", "left")
+    changed = F.col("_mended").isNotNull()
+    text = F.when(changed, mended).otherwise(F.col("text"))
+    kept = joined.withColumn("_left", text).where(~changed | F.col("_left").rlike(WORD_PATTERN))
+    columns = []
+    for name in docs.columns:
+        if name == "text":
+            columns.append(F.col("_left").alias("text"))
+        elif name == "n_chars":
+            columns.append(
+                F.when(changed, F.length("_left")).otherwise(F.col(name)).cast(docs.schema[name].dataType).alias(name)
+            )
+        else:
+            columns.append(F.col(f"`{name}`"))
+    return kept.select(*columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs)
+    """Documents as often as the mixture takes them.
+
+    The words taken of a document make a number of copies with a fraction; a
+    seeded draw rounds it up or down in proportion, so that sources keep their
+    shares. Documents without words are taken once, as nothing was decided on them.
+    """
+    taken = mix(docs.select("doc_id", "text", "source")).groupBy("doc_id", "source", "size").agg(
+        F.max("taken").alias("_taken")
+    )
+    part = draw(F.col("doc_id"), F.lit("copies")) % 1_000_000 / 1_000_000
+    taken = taken.select(
+        F.col("doc_id").alias("_id"),
+        F.col("source").alias("_source"),
+        F.when(F.col("size") > 0, F.floor(F.col("_taken") / F.col("size") + part)).otherwise(1).alias("_times"),
+        F.col("size").alias("_size"),
+    )
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    met = docs.withColumn("_words", text_size()).join(
+        taken,
+        F.col("doc_id").eqNullSafe(F.col("_id"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+        & (F.col("_words") == F.col("_size")),
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
+    return met.where("_times > 0").select(*columns, copies.alias("_copy")).drop("_copy")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number and digest of the ids, and digest of the decoded bytes."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = decode_documents(encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
-STAGES = [("mixing", mix_sources)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
+]
 
-#: The decisions of several stages cannot be expressed in SQL.
+#: Trained scores and signatures cannot be expressed in SQL; tests check the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{number}")
     return docs
