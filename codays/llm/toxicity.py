@@ -117,7 +117,8 @@ class ToxicityModel:
                 toxic, clean = np.maximum(toxic - own[0][:, level], 0), np.maximum(clean - own[1][:, level], 0)
             prior = PRIOR * share, PRIOR * (1 - share)
             t, c = toxic + prior[0], clean * self.scale + prior[1]
-            odds, spread = np.log(t / c), np.sqrt(1 / t + 1 / (clean + prior[1]))
+            odds = np.log(t / c)
+            spread = np.sqrt(1 / (toxic + PRIOR / 2) + 1 / (clean + PRIOR / 2))
             share = np.clip(t / (t + c), 1e-6, 1 - 1e-6)
         telling = (odds > LEAST_LOG_ODDS) & (odds > SIGNIFICANCE * spread)
         return np.where(telling, odds, 0.0) - DRIFT
