@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from codays.fixed_values import METRICS_FOLDER
 from codays.operators.clean import parse_events, reject_audit
-from codays.operators.contenders import contender_counts, most_frequent_pair
+from codays.operators.contenders import most_frequent_pair
 from codays.operators.counts import count_all_pairs
 from codays.operators.grid import (
     cell_days,
@@ -47,7 +47,7 @@ from codays.plans.metrics import (
     strategy_sweep,
     timed_run,
 )
-from codays.session import staging_path
+from codays.session import staged, staging_path
 from codays.sinks.files import overwrite_csv
 from codays.sources.csv_events import load_events, read_event_csv
 from codays.sources.seismic import seismic_table
@@ -82,7 +82,7 @@ def _staged_unique(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _analysis(spark: SparkSession, folder: str) -> DataFrame:
-    return analyse(seismic_table(spark, folder), "reducebykey")
+    return analyse(seismic_table(spark, folder))
 
 
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,13 +109,45 @@ def parsed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_pair_all(spark: SparkSession, folder: str) -> DataFrame:
-    return top_pair(count_all_pairs(_staged_unique(spark, folder), "reducebykey"))
+    return most_frequent_pair(_staged_unique(spark, folder), search="all")
 
 
 def top_pair_pruned(spark: SparkSession, folder: str) -> DataFrame:
-    # No pair budget, so that the pruned way is taken even on small data.
-    unique = _staged_unique(spark, folder)
-    return top_pair(contender_counts(unique, "reducebykey", pairs_per_task=0))
+    return most_frequent_pair(_staged_unique(spark, folder), "reducebykey", search="pruned")
+
+
+def top_pair_without_second_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Each event a cell of its own, three to a day: no pair has a second day."""
+    apart = _events(spark, folder).select(
+        F.col("event_id").cast("double").alias("lat"),
+        F.round("longitude", 1).alias("lon"),
+        F.expr("cast(event_id div 3 AS string)").alias("date"),
+    )
+    return most_frequent_pair(staged(apart, "apart"))
+
+
+def analysis_no_winner(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row on a day of its own, so that no two cells meet."""
+    alone = F.when(F.length("date") >= 10, F.lpad(F.col("event_id").cast("string"), 10, "0"))
+    result = analyse(seismic_table(spark, folder).withColumn("date", F.coalesce(alone, "date")))
+    return result.withColumn("dates", F.array_join("dates", ","))
+
+
+def checked_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """A timed run, its clock columns turned into facts that hold whenever it ran."""
+    return timed_run(seismic_table(spark, folder), num_partitions=8).metrics.select(
+        "approach",
+        "num_workers",
+        "num_partitions",
+        "total_events",
+        "unique_events",
+        "co_occurrences",
+        "max_count",
+        (F.col("load_time_ms") >= 0).alias("load_timed"),
+        (F.col("analysis_time_ms") >= 0).alias("analysis_timed"),
+        (F.col("total_time_ms") == F.col("load_time_ms") + F.col("analysis_time_ms")).alias("total_is_sum"),
+        (F.col("timestamp") > 0).alias("stamped"),
+    )
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,7 +157,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def winner_dates(spark: SparkSession, folder: str) -> DataFrame:
     days = load_cell_days(seismic_table(spark, folder))
-    return top_pair_dates(valid_cell_days(days), winning_pair(days, "reducebykey"))
+    return top_pair_dates(valid_cell_days(days), winning_pair(days))
 
 
 def analysis_row(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,9 +183,9 @@ def overwrite_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sweep(spark: SparkSession, folder: str) -> DataFrame:
-    rows = strategy_sweep(seismic_table(spark, folder), settings=[(1, 8), (1, 16)])
-    return rows.select(
+    return strategy_sweep(seismic_table(spark, folder)).select(
         "approach",
+        "num_workers",
         "num_partitions",
         "total_events",
         "unique_events",
@@ -196,9 +228,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_counts_reduce": lambda spark, folder: count_all_pairs(
             _staged_unique(spark, folder), "reducebykey"
         ),
-        "top_pair": lambda spark, folder: most_frequent_pair(
-            _staged_unique(spark, folder), "reducebykey"
+        "cooccurrences_split": lambda spark, folder: cooccurrences(
+            _staged_unique(spark, folder), cells_per_block=64
+        ),
+        "cooccurrences_array_split": lambda spark, folder: cooccurrences_array(
+            _staged_unique(spark, folder), cells_per_block=64
         ),
+        "top_pair": lambda spark, folder: most_frequent_pair(_staged_unique(spark, folder)),
+        "top_pair_without_second_day": top_pair_without_second_day,
+        "analysis_no_winner": analysis_no_winner,
         "top_pair_all": top_pair_all,
         "top_pair_pruned": top_pair_pruned,
         "pair_label": labels,
@@ -209,7 +247,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metrics_report": lambda spark, folder: metrics_report(_fixed_metrics(spark, folder)),
         "metrics_csv": metrics_csv,
         "overwrite_sink": overwrite_sink,
-        "run_metrics": lambda spark, folder: timed_run(seismic_table(spark, folder)).metrics,
+        "run_metrics": checked_metrics,
         "strategy_sweep": sweep,
         **LLM_QUERIES,
         **PIPELINE_QUERIES,
@@ -298,7 +336,7 @@ metrics AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results as SQL; ``run_metrics`` holds wall-clock times and has none."""
+    """The same results as SQL."""
     instances = f"WITH {_PAIRS} SELECT lat1, lon1, lat2, lon2, date FROM instances"
     counts = f"WITH {_PAIRS} SELECT lat1, lon1, lat2, lon2, n FROM counted"
     top = f"WITH {_TOP} SELECT lat1, lon1, lat2, lon2, n FROM top"
@@ -339,6 +377,8 @@ def oracle_sql() -> dict[str, str]:
         "cooccurrences": instances,
         "cooccurrences_array": instances,
         "cooccurrences_blocked": instances,
+        "cooccurrences_split": instances,
+        "cooccurrences_array_split": instances,
         "canonical_pairs": f"WITH {_PAIRS} SELECT DISTINCT lat1, lon1, lat2, lon2 FROM instances",
         "pair_counts_group": counts,
         "pair_counts_aggregate": counts,
@@ -346,6 +386,18 @@ def oracle_sql() -> dict[str, str]:
         "top_pair": top,
         "top_pair_all": top,
         "top_pair_pruned": top,
+        "top_pair_without_second_day": f"""WITH {_EVENTS},
+            apart AS (
+              SELECT CAST(event_id AS DOUBLE) AS lat, round(longitude, 1) AS lon, event_id // 3 AS date FROM valid)
+            SELECT a.lat AS lat1, a.lon AS lon1, b.lat AS lat2, b.lon AS lon2, CAST(1 AS BIGINT) AS n
+            FROM apart a JOIN apart b ON a.date = b.date AND a.lat < b.lat
+            ORDER BY lat1, lon1, lat2, lon2 LIMIT 1""",
+        "analysis_no_winner": f"""WITH {_EVENTS}
+            SELECT CAST(NULL AS DOUBLE) AS lat1, CAST(NULL AS DOUBLE) AS lon1, CAST(NULL AS DOUBLE) AS lat2,
+              CAST(NULL AS DOUBLE) AS lon2, CAST(0 AS BIGINT) AS max_count, CAST(0 AS INTEGER) AS n_dates,
+              '' AS dates, CAST(count(*) AS BIGINT) AS total_events, CAST(count(*) AS BIGINT) AS unique_events,
+              CAST(0 AS BIGINT) AS co_occurrences
+            FROM valid""",
         "pair_label": f"""WITH {_PAIRS}
             SELECT {_LABEL1} AS label1, {_LABEL2} AS label2,
               '(' || {_LABEL1} || ', ' || {_LABEL2} || ')' AS label, n FROM counted""",
@@ -390,12 +442,20 @@ def oracle_sql() -> dict[str, str]:
               co_occurrences, load_time_ms, analysis_time_ms, total_time_ms, max_count, timestamp
             FROM metrics""",
         "overwrite_sink": unique,
+        "run_metrics": f"""WITH {_ANALYSIS}
+            SELECT 'GroupByKey' AS approach, CAST(1 AS INTEGER) AS num_workers,
+              CAST(8 AS INTEGER) AS num_partitions, total_events, unique_events, co_occurrences,
+              CAST(n AS INTEGER) AS max_count, true AS load_timed, true AS analysis_timed,
+              true AS total_is_sum, true AS stamped
+            FROM totals, top""",
         "strategy_sweep": f"""WITH {_ANALYSIS}
-            SELECT approach, CAST(num_partitions AS INTEGER) AS num_partitions,
+            SELECT approach, CAST(num_workers AS INTEGER) AS num_workers,
+              CAST(num_partitions AS INTEGER) AS num_partitions,
               total_events, unique_events, co_occurrences, n AS max_count
             FROM totals, top,
               (VALUES ('GroupByKey'), ('AggregateByKey'), ('ReduceByKey')) s(approach),
-              (VALUES (8), (16)) p(num_partitions)""",
+              (VALUES (2, 8), (2, 16), (2, 32), (2, 48), (3, 16), (3, 32), (3, 48), (4, 16), (4, 32), (4, 48))
+                p(num_workers, num_partitions)""",
         **LLM_SQL,
         **PIPELINE_SQL,
     }

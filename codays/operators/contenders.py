@@ -14,8 +14,9 @@ applies:
   are those on the most crowded days, which make nearly all of the pairs;
 * what remains is counted in full, day by day.
 
-``slack`` 0 is plain counting. More slack forms fewer pairs and leaves more of
-them to count again, so the least slack that is cheap enough is taken.
+More slack forms fewer pairs and leaves more of them to count again, so the
+least slack is taken that forms at most ``ENOUGH`` times as many pairs as the
+fewest possible. That, like every other step, is the same at every size.
 
 Days are ordered by bands, not one by one: that keeps the running sums per
 cell to a fixed number of bands whatever a cell's number of days, and only
@@ -29,16 +30,18 @@ from pyspark.sql import functions as F
 
 from codays.fixed_values import DEFAULT_STRATEGY
 from codays.functions import CELL, PAIR, cell_block, precedes
-from codays.operators.counts import count_all_pairs, pair_counts
-from codays.operators.grid import cells_per_day
-from codays.operators.pairs import crowded_days, tiled_cooccurrences, with_day_blocks
+from codays.operators.counts import TILE, count_all_pairs, pair_counts
+from codays.operators.pairs import rectangular_cooccurrences, tiled_cooccurrences
 from codays.operators.result import top_pair
-from codays.session import shuffle_width, staged
+from codays.session import staged
 
+#: Cells of each kind that the search opens with. Two at least: of the crowded
+#: day's first cells, two share that day, so a pair is found whenever there is one.
 SEED_CELLS = 32
 BANDS_PER_LEVEL = 64
-PAIRS_PER_TASK = 2_000_000
-MOST_TASKS = 20_000
+ENOUGH = 2
+DAYS = ("n_days",)
+BOTH_DAYS = ("n_days1", "n_days2")
 
 
 class Known(NamedTuple):
@@ -62,19 +65,21 @@ def shared_activity(unique: DataFrame) -> DataFrame:
     return shared.join(cells, CELL).select(*CELL, "date", "n_cells", "n_days")
 
 
-def opening(activity: DataFrame) -> Known | None:
+def opening(activity: DataFrame, seed_cells: int = SEED_CELLS) -> Known | None:
     """A floor for the maximum: the best pair among a few seed cells.
 
     Seeds are the most active cells of all, and the most active and the first
     cells of the most crowded day. The latter share that day, so there is a
     pair whenever any two cells meet.
     """
+    if seed_cells < 2:
+        raise ValueError("fewer than two seed cells may share no day")
     crowded = activity.agg(F.max(F.struct("n_cells", "date")).alias("top")).select("top.date")
     on_crowded = activity.where(F.col("date") == crowded.scalar())
 
     def leading(rows: DataFrame, *order: Column | str) -> DataFrame:
         cells = rows.select(*CELL, "n_days").distinct()
-        return cells.orderBy(*order).limit(SEED_CELLS).select(*CELL)
+        return cells.orderBy(*order).limit(seed_cells).select(*CELL)
 
     most_active = (F.desc("n_days"), *CELL)
     seeds = (
@@ -83,7 +88,7 @@ def opening(activity: DataFrame) -> Known | None:
         .union(leading(on_crowded, *CELL))
         .distinct()
     )
-    # At most three times SEED_CELLS rows, so broadcasting them is safe at any scale.
+    # At most three times seed_cells rows, so broadcasting them is safe at any scale.
     rows = activity.join(F.broadcast(seeds), CELL).select(*CELL, "date")
     met = rows.toDF("lat1", "lon1", "date").join(rows.toDF("lat2", "lon2", "date"), "date")
     pairs = met.where(precedes(*[F.col(c) for c in PAIR]))
@@ -125,13 +130,11 @@ def ranked_rows(activity: DataFrame, floor: int) -> DataFrame:
     return rows.join(bands, [*CELL, "band"]).select(*CELL, "date", "n_days", "later")
 
 
-def least_slack(
-    rows: DataFrame, most: int, budget: int, left: Column | None = None
-) -> tuple[int, int]:
-    """The least slack that forms at most ``budget`` pairs, or twice the fewest possible.
+def least_slack(rows: DataFrame, most: int, left: Column | None = None) -> tuple[int, int]:
+    """The least slack that forms at most ``ENOUGH`` times the fewest pairs possible.
 
-    Returned with its number of pairs, which follows from the rows per day. With ``left``, they join the rows
-    where it holds with all rows.
+    Returned with its number of pairs, which follows from the rows per day. With
+    ``left``, they join the rows where it holds with all rows.
     """
     slacks = sorted({0, most, *(2**k for k in range(most.bit_length()) if 2**k < most)})
     kept = {s: F.col("later") >= s for s in slacks}
@@ -143,22 +146,19 @@ def least_slack(
         meetings = [F.expr(f"double(l{s}) * m{s}") for s in slacks]
     per_day = rows.groupBy("date").agg(*sizes)
     costs = [cost or 0 for cost in per_day.agg(*map(F.sum, meetings)).first()]
-    limit = max(budget, 2 * costs[-1])
-    return next((s, int(cost)) for s, cost in zip(slacks, costs) if cost <= limit)
-
-
-def _tasks_for(pairs: int, width: int) -> int:
-    """Tasks to form ``pairs`` in: the given width, or more where each would get too many."""
-    return min(max(width, pairs // PAIRS_PER_TASK), max(width, MOST_TASKS))
+    return next((s, int(cost)) for s, cost in zip(slacks, costs) if cost <= ENOUGH * costs[-1])
 
 
 def _days_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """All (pair, day) rows of ``pairs``, which carry n_days1 and n_days2.
 
     Walks the days of the cell that has fewer of them and looks up the other,
-    so a cell that is in very many pairs is mostly the one looked up.
+    so a cell that is in very many pairs is mostly the one looked up. Between
+    cells with equally many, a hash of the pair decides, so that pairs of a cell
+    are walked from either end.
     """
-    one_fewer = F.col("n_days1") <= F.col("n_days2")
+    by_chance = F.pmod(F.xxhash64(*PAIR), F.lit(2)) == 0
+    one_fewer = (F.col("n_days1") < F.col("n_days2")) | ((F.col("n_days1") == F.col("n_days2")) & by_chance)
 
     def end(name: str, first: bool) -> Column:
         one, two = F.col(f"{name}1"), F.col(f"{name}2")
@@ -178,112 +178,77 @@ def _days_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def _with_cell_days(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    cells = rows.select(*CELL, "n_days").distinct()
-    return pairs.join(cells.toDF("lat1", "lon1", "n_days1"), ["lat1", "lon1"]).join(
-        cells.toDF("lat2", "lon2", "n_days2"), ["lat2", "lon2"]
-    )
-
-
 def counts_above(
-    ranked: DataFrame, floor: int, strategy: str, width: int, budget: int
+    ranked: DataFrame, floor: int, strategy: str, num_partitions: int | None = None
 ) -> DataFrame:
     """Counts of all pairs that share more than ``floor`` days."""
     able = ranked.where(F.col("n_days") > floor)
-    slack, formed = least_slack(able, floor, budget)
+    slack, formed = least_slack(able, floor)
     quiet = able.where(F.col("later") >= slack)
-    tiled = tiled_cooccurrences(quiet, _tasks_for(formed, width))
-    if slack == 0:
-        return pair_counts(tiled, strategy, within=("i", "j")).where(F.col("n") > floor)
-    likely = pair_counts(tiled, "reducebykey", within=("i", "j")).where(F.col("n") > floor - slack)
-    pairs = _with_cell_days(likely.select(*PAIR), able)
-    return pair_counts(_days_of(pairs, able), strategy).where(F.col("n") > floor)
+    tiled = tiled_cooccurrences(quiet, num_partitions, carry=DAYS, pairs=formed)
+    likely = pair_counts(tiled, "reducebykey", TILE, BOTH_DAYS).where(F.col("n") > floor - slack)
+    return pair_counts(_days_of(likely, able), strategy).where(F.col("n") > floor)
 
 
 def counts_at(
-    ranked: DataFrame, known: Known, strategy: str, width: int, budget: int
+    ranked: DataFrame, known: Known, strategy: str, num_partitions: int | None = None
 ) -> DataFrame:
     """Counts of pairs up to ``known`` in pair order that share at least as many days.
 
-    Rows of the few cells up to the known first cell join all rows; a crowded
-    day's rows are split by salt and the few are repeated for each salt.
+    Rows of the cells up to the known first cell meet all rows.
     """
     first, second = (F.lit(known.lat1), F.lit(known.lon1)), (F.lit(known.lat2), F.lit(known.lon2))
     lat1, lon1, lat2, lon2 = [F.col(c) for c in PAIR]
     up_to_first = ~precedes(*first, F.col("lat"), F.col("lon"))
-    slack, formed = least_slack(ranked, known.n - 1, budget, up_to_first)
-    tasks = _tasks_for(formed, width)
+    slack, formed = least_slack(ranked, known.n - 1, up_to_first)
     rows = ranked.where(F.col("later") >= slack)
-    crowded = crowded_days(rows)
-    left = with_day_blocks(rows.where(up_to_first), crowded).select(
-        "date",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
-        *[F.col(c).alias(f"{c}1") for c in (*CELL, "n_days")],
-    )
-    right = with_day_blocks(rows, crowded).select(
-        "date",
-        cell_block(F.col("blocks")).cast("int").alias("salt"),
-        *[F.col(c).alias(f"{c}2") for c in (*CELL, "n_days")],
-    )
-    keys = ["date", "salt"]
-    # Sizes are estimated before the explode, so a broadcast must not be chosen here.
-    met = left.repartition(tasks, *keys).hint("merge").join(right.repartition(tasks, *keys), keys)
+    met = rectangular_cooccurrences(rows.where(up_to_first), rows, formed, num_partitions, carry=DAYS)
     not_after = precedes(lat1, lon1, *first) | ~precedes(*second, lat2, lon2)
-    likely = (
-        met.where(precedes(lat1, lon1, lat2, lon2) & not_after)
-        .groupBy(*PAIR, "n_days1", "n_days2")
-        .agg(F.count("*").alias("k"))
-        .where(F.col("k") >= known.n - slack)
+    likely = pair_counts(met.where(not_after), "reducebykey", TILE, BOTH_DAYS).where(
+        F.col("n") >= known.n - slack
     )
     return pair_counts(_days_of(likely, ranked), strategy).where(F.col("n") >= known.n)
 
 
 def contender_counts(
-    unique: DataFrame,
-    strategy: str = DEFAULT_STRATEGY,
-    num_partitions: int | None = None,
-    pairs_per_task: int = PAIRS_PER_TASK,
+    unique: DataFrame, strategy: str = DEFAULT_STRATEGY, num_partitions: int | None = None
 ) -> DataFrame:
     """Full counts of the pairs that may be the most frequent one.
 
     A subset of ``count_all_pairs`` that always holds the pair with the most
-    days, first in pair order among equals.
+    days, first in pair order among equals. The search ends in one of three
+    ways: pairs above the opening floor, no pair with a second day, or a tie with
+    the floor.
     """
-    width = shuffle_width(unique.sparkSession, num_partitions)
-    budget = pairs_per_task * width
     activity = staged(shared_activity(unique), "activity")
     known = opening(activity)
     if known is None:
-        return count_all_pairs(unique.where(F.lit(False)), strategy, width)
+        return count_all_pairs(unique.where(F.lit(False)), strategy, num_partitions)
 
     ranked = staged(ranked_rows(activity, known.n), "ranked")
-    above = staged(counts_above(ranked, known.n, strategy, width, budget), "above")
+    above = staged(counts_above(ranked, known.n, strategy, num_partitions), "above")
     if not above.isEmpty():
         return above
     if known.n == 1:
         # No pair has a second day, so the first of all pairs is the winner.
         return first_pair(activity).withColumn("n", F.lit(1).cast("long"))
-    return counts_at(ranked, known, strategy, width, budget)
-
-
-def number_of_pairs(unique: DataFrame) -> int:
-    """How many (pair, day) rows there are, counted without forming them."""
-    return cells_per_day(unique).agg(F.sum("n_pairs")).first()[0] or 0
+    return counts_at(ranked, known, strategy, num_partitions)
 
 
 def most_frequent_pair(
     unique: DataFrame,
     strategy: str = DEFAULT_STRATEGY,
     num_partitions: int | None = None,
-    pairs_per_task: int = PAIRS_PER_TASK,
+    search: str = "pruned",
 ) -> DataFrame:
     """The pair that shares the most days, as one row or none.
 
-    Both ways give the same row. Counting every pair has fewer steps and is
-    used while each task gets a few million of them; beyond that, pruning.
-    ``unique`` is read several times and should be a staged table.
+    ``search`` is "pruned", or "all" to form and count every pair. Both give the
+    same row, and neither is chosen by size. ``unique`` is read several times and
+    should be a staged table.
     """
-    width = shuffle_width(unique.sparkSession, num_partitions)
-    if number_of_pairs(unique) <= pairs_per_task * width:
+    if search == "pruned":
+        return top_pair(contender_counts(unique, strategy, num_partitions))
+    if search == "all":
         return top_pair(count_all_pairs(unique, strategy, num_partitions))
-    return top_pair(contender_counts(unique, strategy, num_partitions, pairs_per_task))
+    raise ValueError(f"unknown search {search!r}")

@@ -15,6 +15,7 @@ from codays.functions import PAIR
 from codays.operators.pairs import tiled_cooccurrences
 
 DATE_BUCKETS = 4
+TILE = ("task", "i", "j")
 
 
 def parse_strategy(text: str) -> str:
@@ -32,9 +33,12 @@ def strategy_name(strategy: str) -> str:
 
 
 def pair_counts(
-    instances: DataFrame, strategy: str = DEFAULT_STRATEGY, within: tuple[str, ...] = ()
+    instances: DataFrame,
+    strategy: str = DEFAULT_STRATEGY,
+    within: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Number of rows per pair.
+    """Number of rows per pair, with ``carry`` columns that the pair determines.
 
     ``within`` names columns that a pair determines and that the rows are
     already partitioned by; grouping by them as well saves the shuffle.
@@ -45,18 +49,18 @@ def pair_counts(
     * reducebykey: one count with partial aggregation.
     """
     strategy = parse_strategy(strategy)
-    keys = [*within, *PAIR]
+    keys, kept = [*within, *PAIR, *carry], [*PAIR, *carry]
     if strategy == "reducebykey":
         counted = instances.groupBy(*keys).agg(F.count("*").alias("n"))
-        return counted.select(*PAIR, "n")
+        return counted.select(*kept, "n")
 
     bucket = F.pmod(F.xxhash64("date"), F.lit(DATE_BUCKETS)).alias("bucket")
     partial = instances.groupBy(*keys, bucket).agg(F.count("*").alias("k"))
     if strategy == "aggregatebykey":
-        return partial.groupBy(*keys).agg(F.sum("k").alias("n")).select(*PAIR, "n")
+        return partial.groupBy(*keys).agg(F.sum("k").alias("n")).select(*kept, "n")
     listed = partial.groupBy(*keys).agg(F.collect_list("k").alias("ks"))
     added = F.aggregate("ks", F.lit(0).cast("long"), lambda total, k: total + k)
-    return listed.select(*PAIR, added.alias("n"))
+    return listed.select(*kept, added.alias("n"))
 
 
 def count_all_pairs(
@@ -64,4 +68,4 @@ def count_all_pairs(
 ) -> DataFrame:
     """Days per pair for every pair of cells that shares a day."""
     tiled = tiled_cooccurrences(unique, num_partitions)
-    return pair_counts(tiled, strategy, within=("i", "j"))
+    return pair_counts(tiled, strategy, within=TILE)

@@ -3,22 +3,35 @@
 A day with ``n`` cells has ``n (n - 1) / 2`` pairs, so a crowded day cannot be
 left to one task. Every form below cuts cells into hash blocks and gives each
 pair of blocks its own join key, which bounds the work behind one key by the
-block size however the rows are spread over days.
+block size however the rows are spread over days. The number of tasks follows
+from the number of pairs, which is known without forming them.
 
 The unique (cell, day) rows are read more than once, so they should come from
 a staged table.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codays.functions import PAIR, cell_block, ordered_pair, precedes
+from codays.operators.grid import cells_per_day
 from codays.session import shuffle_width
 
 CELLS_PER_BLOCK = 4096
+PAIRS_PER_TASK = 2_000_000
 TILES_PER_TASK = 3
 
 
+def number_of_pairs(unique: DataFrame) -> int:
+    """How many (pair, day) rows there are, counted without forming them."""
+    return cells_per_day(unique).agg(F.sum("n_pairs")).first()[0] or 0
+
+
+def tasks_for(spark: SparkSession, pairs: int, num_partitions: int | None = None) -> int:
+    """Tasks for so many pairs: the given or usual width, or more so that each gets few enough."""
+    return max(shuffle_width(spark, num_partitions), -(-pairs // PAIRS_PER_TASK))
+
+
 def crowded_days(rows: DataFrame, cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
     """Days with more rows than a block holds, and the blocks they need."""
     return (
@@ -66,13 +79,19 @@ def triangular_pairs(
     )
 
 
-def cooccurrences(unique: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def _width(unique: DataFrame, num_partitions: int | None) -> int:
+    return tasks_for(unique.sparkSession, number_of_pairs(unique), num_partitions)
+
+
+def cooccurrences(
+    unique: DataFrame, num_partitions: int | None = None, cells_per_block: int = CELLS_PER_BLOCK
+) -> DataFrame:
     """Every pair of cells on every day, as a join on the day.
 
     Days that outgrow a block are split; all others join on the plain day.
     """
-    blocked = with_day_blocks(unique, crowded_days(unique))
-    return triangular_pairs(blocked, shuffle_width(unique.sparkSession, num_partitions))
+    blocked = with_day_blocks(unique, crowded_days(unique, cells_per_block))
+    return triangular_pairs(blocked, _width(unique, num_partitions))
 
 
 def cooccurrences_blocked(
@@ -80,81 +99,142 @@ def cooccurrences_blocked(
 ) -> DataFrame:
     """The same rows with every day cut into a fixed number of blocks."""
     blocked = unique.withColumn("blocks", F.lit(blocks))
-    return triangular_pairs(blocked, shuffle_width(unique.sparkSession, num_partitions))
+    return triangular_pairs(blocked, _width(unique, num_partitions))
 
 
-def _block_arrays(placed: DataFrame, num_partitions: int, *partition_keys: str) -> DataFrame:
-    """Per (block pair, day): the cells of both blocks as two arrays.
+def _meetings(rows: DataFrame, block: Column, others: Column, parts: Column, carry: tuple[str, ...]) -> DataFrame:
+    """Rows repeated for every pair of blocks, and of parts, in which their cell meets others.
 
-    An array holds the cells of one block on one day.
+    ``block`` is the row's own block and ``others`` how many there are. Where
+    a day has more than one part, the row's part meets each of them. The cell is
+    ``first`` in meetings where its block, or part of equal blocks, is not the
+    later one, and ``second`` where it is not the earlier one.
     """
-    block, other = F.col("block"), F.col("other")
-    cell = F.struct("lat", "lon")
-    return (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            F.least(block, other).alias("i"),
-            F.greatest(block, other).alias("j"),
-            "date",
-            F.when(block <= other, cell).alias("first"),
-            F.when(block >= other, cell).alias("second"),
-        )
-        .repartition(num_partitions, *partition_keys)
-        .groupBy("i", "j", "date")
-        .agg(
-            F.sort_array(F.collect_list("first")).alias("firsts"),
-            F.sort_array(F.collect_list("second")).alias("seconds"),
-        )
+    cell = F.struct("lat", "lon", *carry)
+    part = F.pmod(F.xxhash64("lon", "lat", F.lit(1)), F.col("parts")).cast("int")
+    met = (
+        rows.withColumn("parts", parts)
+        .withColumn("block", block)
+        .withColumn("part", part)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+        .withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     )
+    own, other = F.struct("block", "part"), F.struct(F.col("other").alias("block"), F.col("other_part").alias("part"))
+    lower, upper = F.least(own, other), F.greatest(own, other)
+    return met.select(
+        lower["block"].alias("i"),
+        upper["block"].alias("j"),
+        lower["part"].alias("si"),
+        upper["part"].alias("sj"),
+        "date",
+        F.when(own <= other, cell).alias("first"),
+        F.when(own >= other, cell).alias("second"),
+    )
+
 
+def _array_pairs(meetings: DataFrame, *keys: str, carry: tuple[str, ...] = (), one_sided: bool = False) -> DataFrame:
+    """Pairs of first and second cells of every meeting; an array holds one part of one block on one day.
 
-def _array_pairs(arrays: DataFrame) -> DataFrame:
+    Where a meeting is of a part with itself, or ``one_sided``, only pairs in
+    cell order count.
+    """
+    arrays = meetings.groupBy(*keys, "si", "sj", "date").agg(
+        F.sort_array(F.collect_list("first")).alias("firsts"),
+        F.sort_array(F.collect_list("second")).alias("seconds"),
+    )
     a, b = F.col("a"), F.col("b")
+    in_order = precedes(a.lat, a.lon, b.lat, b.lon)
+    apart = (F.col("i") < F.col("j")) | (F.col("si") < F.col("sj"))
+    ends = [F.col(f"{end}.{c}").alias(f"{c}{n}") for n, end in ((1, "a"), (2, "b")) for c in ("lat", "lon", *carry)]
     return (
         arrays.withColumn("a", F.explode("firsts"))
         .withColumn("b", F.explode("seconds"))
-        .where((F.col("i") < F.col("j")) | precedes(a.lat, a.lon, b.lat, b.lon))
-        .select("i", "j", *ordered_pair(a.lat, a.lon, b.lat, b.lon), "date")
+        .where(in_order if one_sided else apart | in_order)
+        .select(*keys, *ends, "date")
+        .select(*keys, *ordered_pair(*[F.col(c) for c in PAIR], carry=carry), "date")
     )
 
 
+def _with_parts(rows: DataFrame, cells: int) -> DataFrame:
+    """``blocks`` of a day as the parts that a block of it needs to hold at most ``cells`` cells."""
+    return with_day_blocks(rows, crowded_days(rows, cells))
+
+
 def tiled_cooccurrences(
     unique: DataFrame,
     num_partitions: int | None = None,
     cells_per_block: int = CELLS_PER_BLOCK,
+    carry: tuple[str, ...] = (),
+    pairs: int | None = None,
 ) -> DataFrame:
     """Every pair of cells on every day, laid out for counting days per pair.
 
     Cells, not days, are cut into blocks, and rows are shuffled once by tile,
     a pair of blocks ``(i, j)``. A pair always falls into the same tile, so
-    grouping by (i, j, pair) happens where the pairs are made and no pair is
-    shuffled. There are just enough blocks for a few tiles per task and for
-    the arrays of the most crowded day to stay small: each row is repeated
-    once per block.
+    grouping by (task, i, j, pair) happens where the pairs are made and no pair
+    is shuffled. Tiles are numbered and dealt out to tasks in turn. Each row is
+    repeated once per block, of which there are enough for a few tiles per
+    task; only rows of days that are too crowded for that are cut further, into
+    parts that meet within the tile.
     """
-    width = shuffle_width(unique.sparkSession, num_partitions)
-    for_tasks = int((2 * TILES_PER_TASK * width) ** 0.5) + 1
-    for_arrays = F.ceil(F.max("n_cells") / cells_per_block)
-    sizes = unique.groupBy("date").agg(F.count("*").alias("n_cells"))
-    blocks = sizes.agg(F.greatest(for_arrays, F.lit(for_tasks)).cast("int").alias("blocks"))
-    placed = unique.withColumn("blocks", blocks.scalar()).withColumn(
-        "block", cell_block(F.col("blocks"))
-    )
-    return _array_pairs(_block_arrays(placed, width, "i", "j"))
+    found = number_of_pairs(unique) if pairs is None else pairs
+    tasks = tasks_for(unique.sparkSession, found, num_partitions)
+    blocks = int((2 * TILES_PER_TASK * tasks) ** 0.5) + 1
+    rows = _with_parts(unique, cells_per_block * blocks)
+    met = _meetings(rows, cell_block(F.lit(blocks)).cast("int"), F.lit(blocks), F.col("blocks"), carry)
+    tile = F.expr("j * (j + 1) div 2") + F.col("i")
+    dealt = met.withColumn("task", (tile % tasks).cast("int")).repartitionById(tasks, "task")
+    return _array_pairs(dealt, "task", "i", "j", carry=carry)
+
+
+def rectangular_cooccurrences(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: int,
+    num_partitions: int | None = None,
+    cells_per_block: int = CELLS_PER_BLOCK,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """Pairs of a cell of ``left`` and a later cell of ``right`` on every day, in tiles.
 
+    Both sides are cut into blocks, and crowded days into parts, like the
+    squares of ``tiled_cooccurrences``; the columns are the same.
+    """
+    tasks = tasks_for(left.sparkSession, pairs, num_partitions)
+    blocks = int((TILES_PER_TASK * tasks) ** 0.5) + 1
+    crowded = crowded_days(right, cells_per_block * blocks)
+
+    def side(rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        placed = (
+            with_day_blocks(rows, crowded)
+            .withColumn(own, cell_block(F.lit(blocks)).cast("int"))
+            .withColumn(f"s{own}", F.pmod(F.xxhash64("lon", "lat", F.lit(1)), F.col("blocks")).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+            .withColumn(f"s{other}", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        )
+        cell = F.struct("lat", "lon", *carry)
+        return placed.select("i", "j", "si", "sj", "date", cell.alias(name))
+
+    met = side(left, "i", "j", "first").unionByName(side(right, "j", "i", "second"), allowMissingColumns=True)
+    tile = F.col("i") * blocks + F.col("j")
+    dealt = met.withColumn("task", (tile % tasks).cast("int")).repartitionById(tasks, "task")
+    return _array_pairs(dealt, "task", "i", "j", carry=carry, one_sided=True)
 
-def cooccurrences_array(unique: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Every pair of cells on every day, from arrays of a day's cells in order.
 
-    Only crowded days are cut into blocks here, so most days stay one array.
+def cooccurrences_array(
+    unique: DataFrame, num_partitions: int | None = None, cells_per_block: int = CELLS_PER_BLOCK
+) -> DataFrame:
+    """Every pair of cells on every day, from arrays of a day's cells.
+
+    Only crowded days are cut into parts here, so most days stay one array.
     """
-    blocked = with_day_blocks(unique, crowded_days(unique))
-    placed = blocked.withColumn("block", cell_block(F.col("blocks")))
-    width = shuffle_width(unique.sparkSession, num_partitions)
-    return _array_pairs(_block_arrays(placed, width, "date", "i", "j")).select(*PAIR, "date")
+    rows = _with_parts(unique, cells_per_block)
+    met = _meetings(rows, F.lit(0), F.lit(1), F.col("blocks"), ())
+    dealt = met.repartition(_width(unique, num_partitions), "date", "i", "j", "si", "sj")
+    return _array_pairs(dealt, "i", "j").select(*PAIR, "date")
 
 
 def canonical_pairs(unique: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Distinct cell pairs, smaller cell first."""
     tiled = tiled_cooccurrences(unique, num_partitions)
-    return tiled.select("i", "j", *PAIR).distinct().select(*PAIR)
+    return tiled.select("task", "i", "j", *PAIR).distinct().select(*PAIR)

@@ -19,14 +19,17 @@ def load_cell_days(raw: DataFrame) -> DataFrame:
 
 
 def winning_pair(
-    days: DataFrame, strategy: str = DEFAULT_STRATEGY, num_partitions: int | None = None
+    days: DataFrame,
+    strategy: str = DEFAULT_STRATEGY,
+    num_partitions: int | None = None,
+    search: str = "pruned",
 ) -> DataFrame:
     """The most frequent pair as a staged row.
 
     Later steps broadcast it; staging keeps the search itself out of the
     broadcast, which has a time limit.
     """
-    return staged(most_frequent_pair(valid_cell_days(days), strategy, num_partitions), "top")
+    return staged(most_frequent_pair(valid_cell_days(days), strategy, num_partitions, search), "top")
 
 
 def result_row(days: DataFrame, top: DataFrame) -> DataFrame:
@@ -46,9 +49,12 @@ def result_row(days: DataFrame, top: DataFrame) -> DataFrame:
 
 
 def analyse_cell_days(
-    days: DataFrame, strategy: str = DEFAULT_STRATEGY, num_partitions: int | None = None
+    days: DataFrame,
+    strategy: str = DEFAULT_STRATEGY,
+    num_partitions: int | None = None,
+    search: str = "pruned",
 ) -> DataFrame:
-    return result_row(days, winning_pair(days, strategy, num_partitions))
+    return result_row(days, winning_pair(days, strategy, num_partitions, search))
 
 
 def analyse(

@@ -61,11 +61,16 @@ def metrics_row(
 
 
 def _timed_analysis(
-    days: DataFrame, load_ms: int, strategy: str, num_partitions: int | None, num_workers: int
+    days: DataFrame,
+    load_ms: int,
+    strategy: str,
+    num_partitions: int | None,
+    num_workers: int,
+    search: str = "pruned",
 ) -> Run:
     strategy = parse_strategy(strategy)
     start = _now_ms()
-    result = staged(analyse_cell_days(days, strategy, num_partitions), "result")
+    result = staged(analyse_cell_days(days, strategy, num_partitions, search), "result")
     end = _now_ms()
     width = shuffle_width(days.sparkSession, num_partitions)
     metrics = metrics_row(result, strategy, num_workers, width, load_ms, end - start, end)
@@ -93,16 +98,18 @@ def strategy_sweep(
     raw: DataFrame,
     settings: Iterable[tuple[int, int]] | None = None,
     strategies: Iterable[str] = tuple(STRATEGY_NAMES),
+    search: str = "all",
 ) -> DataFrame:
     """One metrics row per (workers, partitions) setting and strategy.
 
-    The raw rows are loaded once; each run repeats the analysis.
+    The raw rows are loaded once; each run repeats the analysis. As strategies
+    differ in how they count pairs, runs count all of them unless told otherwise.
     """
     if settings is None:
         settings = [(w, n) for w, counts in SWEEP_PARTITIONS.items() for n in counts]
     days, load_ms = _timed_load(raw)
     rows = [
-        _timed_analysis(days, load_ms, strategy, partitions, workers).metrics
+        _timed_analysis(days, load_ms, strategy, partitions, workers, search).metrics
         for workers, partitions in settings
         for strategy in strategies
     ]

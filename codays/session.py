@@ -6,6 +6,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_folders: dict[str, str] = {}
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks; a cluster job brings its own."""
     spark = (
@@ -31,14 +34,25 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="codays-"))
-    return context.getCheckpointDir().rstrip("/")
+    application = context.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="codays-")
+    return _local_folders[application]
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/codays/{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, grouped by application for clean-up."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/codays/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every table that this application has staged; frames that read them end here."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -9,17 +9,20 @@ from codays.session import local_session  # noqa: E402
 
 DATA = Path("/root/testdata")
 
+# Three cells: A (-12.3, 44.1), B (5.6, -7.9) and C (48.3, 0.2). A comes twice on
+# one day; A and B share two days, and so do A and C, so the tie goes to B; the
+# last two days have one cell each. Halves round away from zero.
 GOLDEN = [
-    ("37.502", "15.312", "2024-03-12 02:10:00"),
-    ("38.112", "13.372", "2024-03-12 05:55:00"),
-    ("37.521", "15.324", "2024-03-12 04:32:00"),
-    ("37.547", "15.323", "2024-04-01 14:22:00"),
-    ("38.147", "13.324", "2024-04-01 21:55:00"),
-    ("37.535", "15.341", "2024-04-03 12:32:00"),
-    ("38.142", "13.387", "2024-04-03 18:33:00"),
-    ("43.769", "11.255", "2024-04-03 21:10:00"),
-    ("37.522", "15.308", "2024-04-23 02:10:00"),
-    ("38.123", "13.379", "2024-04-27 05:55:00"),
+    ("-12.25", "44.05", "2021-07-02 23:59:59"),
+    ("5.55", "-7.94", "2021-07-02 00:00:00"),
+    ("-12.341", "44.149", "2021-07-02 11:00:00"),
+    ("48.30", "0.15", "2021-07-09 08:15:30"),
+    ("-12.3", "44.1", "2021-07-09 08:15:31"),
+    ("48.349", "0.2", "2021-08-15 12:00:00"),
+    ("5.6", "-7.85", "2021-08-15 12:00:00"),
+    ("-12.26", "44.12", "2021-08-15 12:00:00"),
+    ("-12.30", "44.10", "2021-09-20 05:05:05"),
+    ("5.649", "-7.9", "2021-09-27 06:06:06"),
 ]
 RAW_SCHEMA = "latitude string, longitude string, date string"
 

@@ -1,11 +1,12 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
 from codays.plans.analysis import analyse, result_summary, result_text
-from codays.session import shared_folder, staged, staging_path
+from codays.session import release, shared_folder, staged, staging_path
 
-TEXT = "((37.5, 15.3), (38.1, 13.4))\n2024-03-12\n2024-04-03"
+TEXT = "((-12.3, 44.1), (5.6, -7.9))\n2021-07-02\n2021-08-15"
 
 
 @pytest.fixture(scope="module")
@@ -15,18 +16,18 @@ def result(golden):
 
 @pytest.fixture(scope="module")
 def nothing(golden):
-    return staged(analyse(golden.where("date like '2024-04-2%'")), "nothing")
+    return staged(analyse(golden.where("date like '2021-09-2%'")), "nothing")
 
 
 def test_golden(result):
     assert result.collect()[0].asDict() == {
-        "lat1": 37.5,
-        "lon1": 15.3,
-        "lat2": 38.1,
-        "lon2": 13.4,
+        "lat1": -12.3,
+        "lon1": 44.1,
+        "lat2": 5.6,
+        "lon2": -7.9,
         "max_count": 2,
         "n_dates": 2,
-        "dates": ["2024-03-12", "2024-04-03"],
+        "dates": ["2021-07-02", "2021-08-15"],
         "total_events": 10,
         "unique_events": 9,
         "co_occurrences": 5,
@@ -77,7 +78,7 @@ def test_staging_uses_the_shared_folder(spark):
 
 def session_like(master, named=None, set_later=None):
     """Just the settings that ``shared_folder`` looks at."""
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: set_later)
+    context = SimpleNamespace(master=master, applicationId="a", getCheckpointDir=lambda: set_later)
     conf = SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": named}[key] or default)
     return SimpleNamespace(sparkContext=context, conf=conf)
 
@@ -90,3 +91,15 @@ def test_the_named_folder_comes_first():
 def test_a_cluster_needs_a_named_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session_like("yarn"))
+
+
+def test_release_removes_what_was_staged(spark):
+    path = staging_path(spark, "kept")
+    staged(spark.range(3), "gone")
+    spark.range(3).write.parquet(path)
+    checkpoints = spark.sparkContext.getCheckpointDir()
+    release(spark)
+    own = Path(staging_path(spark, "x").removeprefix("file:")).parent
+    assert not own.exists() or not list(own.iterdir())
+    assert spark.sparkContext.getCheckpointDir() == checkpoints
+    assert staged(spark.range(3), "again").count() == 3

@@ -72,24 +72,61 @@ def tie_far_from_the_seeds(rng):
 CASES = [uniform, long_tail, hot_day, hot_cell, single_day, all_tied, no_pair_twice, copies, tie_far_from_the_seeds]
 
 
-@pytest.mark.parametrize(
-    "make, budget",
-    [(make, 0) for make in CASES] + [(uniform, 10**6), (hot_day, 10**6)],
-    ids=lambda value: getattr(value, "__name__", str(value)),
-)
-def test_pruned_winner_equals_brute_force(spark, make, budget):
+@pytest.mark.parametrize("make", CASES, ids=lambda value: value.__name__)
+def test_pruned_winner_equals_brute_force(spark, make):
     data = make(random.Random(11))
     unique = staged(spark.createDataFrame(sorted(data), UNIQUE), "unique")
-    kept = rows(contender_counts(unique, "3", pairs_per_task=budget))
+    kept = rows(contender_counts(unique, "3"))
     expected = brute.counts(data)
     assert min(kept, key=lambda row: (-row[4], row)) == brute.winner(data)
     assert all(expected[row[:4]] == row[4] for row in kept)
     assert len(kept) == len({row[:4] for row in kept})
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_pruned_winner_of_random_tables(spark, seed):
+    rng = random.Random(seed)
+    cells, days, n = rng.choice([8, 40, 200]), rng.choice([2, 12, 90]), rng.choice([60, 300, 900])
+    data = {(*cell(int(rng.random() ** 2 * cells)), day(int(rng.random() ** 3 * days))) for _ in range(n)}
+    unique = staged(spark.createDataFrame(sorted(data), UNIQUE), "unique")
+    winner = brute.winner(data)
+    assert rows(most_frequent_pair(unique)) == ([winner] if winner else [])
+
+
+def test_a_floor_pair_last_in_order(spark):
+    """The seeds find a pair that ties with one far before it."""
+    late = {(*cell(2000 + i), day(d)) for i in range(40) for d in range(3)}
+    early = {(*cell(i), day(200 + i // 2 * 3 + d)) for i in range(30) for d in range(3)}
+    unique = staged(spark.createDataFrame(sorted(late | early), UNIQUE), "unique")
+    assert rows(most_frequent_pair(unique)) == [brute.winner(late | early)]
+
+
+@pytest.mark.parametrize("cells", [6, 3000])
+def test_one_way_at_every_size(spark, monkeypatch, cells):
+    """Tiny tables are searched like large ones; all pairs are counted on demand only."""
+
+    def refused(*_):
+        raise AssertionError("all pairs counted")
+
+    monkeypatch.setattr("codays.operators.contenders.count_all_pairs", refused)
+    spread = spark.range(cells * 8).selectExpr(
+        f"double(id % {cells}) AS lat", "0D AS lon", "concat('2024-01-', lpad(id % 7, 2, '0')) AS date"
+    )
+    unique = staged(spread.distinct(), "unique")
+    assert most_frequent_pair(unique).count() == 1
+    with pytest.raises(AssertionError):
+        most_frequent_pair(unique, search="all")
+
+
+def test_too_few_seeds_are_refused(spark):
+    unique = spark.createDataFrame(sorted(single_day(None)), UNIQUE)
+    with pytest.raises(ValueError):
+        opening(shared_activity(unique), seed_cells=1)
+
+
 def test_a_crowded_day_is_not_expanded(spark):
     unique = spark.createDataFrame(sorted(single_day(None)), UNIQUE)
-    assert contender_counts(unique, pairs_per_task=0).count() == 1
+    assert contender_counts(unique).count() == 1
 
 
 def test_slack_leaves_the_crowded_day_aside(spark):
@@ -101,8 +138,10 @@ def test_slack_leaves_the_crowded_day_aside(spark):
 def test_both_ways_to_the_winner_agree(spark):
     data = long_tail(random.Random(3))
     unique = spark.createDataFrame(sorted(data), UNIQUE)
-    for limit, strategy in ((0, "1"), (0, "2"), (10**9, "1"), (10**9, "3")):
-        assert rows(most_frequent_pair(unique, strategy, 4, limit)) == [brute.winner(data)]
+    for search, strategy in (("pruned", "1"), ("pruned", "2"), ("all", "1"), ("all", "3")):
+        assert rows(most_frequent_pair(unique, strategy, 4, search)) == [brute.winner(data)]
+    with pytest.raises(ValueError):
+        most_frequent_pair(unique, search="some")
 
 
 def test_opening_is_a_count_that_occurs(spark):
@@ -115,9 +154,9 @@ def test_without_pairs(spark):
     lonely = spark.createDataFrame([(1.0, 1.0, day(0)), (2.0, 2.0, day(1))], UNIQUE)
     assert contender_counts(lonely).columns == ["lat1", "lon1", "lat2", "lon2", "n"]
     assert contender_counts(lonely).count() == 0
-    for limit in (0, 10**9):
-        assert most_frequent_pair(lonely, pairs_per_task=limit).count() == 0
-        assert most_frequent_pair(lonely.where("false"), pairs_per_task=limit).count() == 0
+    for search in ("pruned", "all"):
+        assert most_frequent_pair(lonely, search=search).count() == 0
+        assert most_frequent_pair(lonely.where("false"), search=search).count() == 0
 
 
 def test_winner_days(spark):

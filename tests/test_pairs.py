@@ -16,6 +16,8 @@ from codays.operators.pairs import (
     cooccurrences_array,
     cooccurrences_blocked,
     crowded_days,
+    rectangular_cooccurrences,
+    tasks_for,
     tiled_cooccurrences,
     triangular_pairs,
     with_day_blocks,
@@ -66,6 +68,33 @@ def test_crowded_days_are_split(unique, data):
     assert rows(triangular_pairs(blocked, 4)) == brute.instances(data)
 
 
+def test_a_crowded_day_leaves_quiet_rows_alone(spark):
+    """Only its own rows are cut into parts; how often a quiet row is repeated stays the same."""
+    quiet = spark.range(300).selectExpr("double(id) AS lat", "0D AS lon", "concat('q', id % 10) AS date")
+    hot = spark.range(60_000).selectExpr("double(id) AS lat", "1D AS lon", "'hot' AS date")
+    for table, parts in ((quiet, {1}), (quiet.union(hot), {1, 15})):
+        rows_of = with_day_blocks(table, crowded_days(table, 4096))
+        assert {r.blocks for r in rows_of.select("blocks").distinct().collect()} == parts
+        assert {r.blocks for r in rows_of.where("date != 'hot'").select("blocks").distinct().collect()} == {1}
+
+
+def test_tiles_are_dealt_evenly(spark):
+    spread = spark.range(4000).selectExpr("double(id % 800) AS lat", "0D AS lon", "concat('d', id % 5) AS date")
+    for tasks in (8, 32):
+        sizes = [r["count"] for r in tiled_cooccurrences(spread, tasks).groupBy("task").count().collect()]
+        assert len(sizes) == tasks and max(sizes) <= 1.5 * sum(sizes) / tasks
+
+
+def test_tasks_follow_the_number_of_pairs(spark):
+    assert [tasks_for(spark, n, 8) for n in (0, 16_000_000, 10**12)] == [8, 8, 500_000]
+
+
+def test_rectangles_give_each_pair_once(spark, unique, data):
+    left = unique.where("lat < 0.3")
+    found = rectangular_cooccurrences(left, unique, 1000, 4, cells_per_block=3).select(*PAIR, "date")
+    assert rows(found) == [r for r in brute.instances(data) if r[0] < 0.3]
+
+
 def test_carried_columns_follow_their_cell(unique):
     tagged = unique.withColumn("tag", F.col("lat") * 100 + F.col("lon")).withColumn("blocks", F.lit(4))
     pairs = triangular_pairs(tagged, 4, carry=("tag",))
