@@ -26,9 +26,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codays.llm.buckets import BYTES_PER_BUCKET, dealt
+from codays.llm.buckets import dealt
 from codays.llm.shingles import in_parts
 
+#: A worker holds a bucket's texts, its words and all ids at once.
+BYTES_PER_BUCKET = 8_000_000
 SLOTS = 1 << 16
 NO_RANK = 2**31 - 1
 #: The fold takes time with the square of a word; longer ones are merged with a heap.
