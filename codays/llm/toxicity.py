@@ -235,10 +235,11 @@ def count_classes(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     counted = labelled.mapInArrow(count, "cell bigint, toxic bigint, clean bigint")
     summed = counted.groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    table = summed.toPandas()
+    # Columns, not rows, reach the driver: at most ``CELLS`` of three numbers.
+    cell, counted_toxic, counted_clean = (c.to_numpy() for c in summed.toArrow().columns)
     toxic, clean = np.zeros(CELLS), np.zeros(CELLS)
-    toxic[table["cell"]] = table["toxic"]
-    clean[table["cell"]] = table["clean"]
+    toxic[cell] = counted_toxic
+    clean[cell] = counted_clean
     return toxic, clean
 
 
