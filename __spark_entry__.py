@@ -31,7 +31,7 @@ from codays.operators.pairs import (
     cooccurrences_array,
     cooccurrences_blocked,
 )
-from codays.operators.result import top_pair, top_pair_dates, with_labels
+from codays.operators.result import top_pair_dates, with_labels
 from codays.plans.analysis import (
     analyse,
     load_cell_days,
@@ -322,6 +322,7 @@ days AS (
 _LABEL1 = "'(' || lat1 || ', ' || lon1 || ')'"
 _LABEL2 = "'(' || lat2 || ', ' || lon2 || ')'"
 
+# Columns of the metrics table, here and in the queries on metrics.
 _METRICS = (
     _ANALYSIS
     + f""",
@@ -418,6 +419,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT '(' || {_LABEL1} || ', ' || {_LABEL2} || ')' || chr(10)
               || replace(dates, ',', chr(10)) AS value
             FROM top, days""",
+        # Labels of the report, in order.
         "metrics_report": f"""WITH {_METRICS}
             SELECT chr(10) || 'Approach: ' || approach
               || chr(10) || 'Partitioner: Hash (via repartition)'

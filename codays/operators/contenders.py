@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codays.fixed_values import DEFAULT_STRATEGY
-from codays.functions import CELL, PAIR, cell_block, precedes
+from codays.functions import CELL, PAIR, precedes
 from codays.operators.counts import TILE, count_all_pairs, pair_counts
 from codays.operators.pairs import rectangular_cooccurrences, tiled_cooccurrences
 from codays.operators.result import top_pair
