@@ -6,6 +6,10 @@ by token in a join. So documents are dealt into buckets of about
 known of them comes back to it in a cogroup.
 """
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +29,43 @@ def dealt(docs: DataFrame, *more: Column, bytes_per_bucket: int = BYTES_PER_BUCK
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
     return rows.withColumn("bucket", bucket).repartition(buckets, "bucket"), buckets
+
+
+def packed(docs: DataFrame, bytes_per_bucket: int = BYTES_PER_BUCKET) -> tuple[DataFrame, int, str]:
+    """``dealt`` with the rows of a batch that share a bucket as one compressed block.
+
+    Returns (bucket, block) rows, the number of buckets, and the type of doc_id.
+    ``unpacked`` gives the rows of a block back. A shuffle of blocks is much
+    smaller than one of texts.
+    """
+    rows = ids_and_texts(docs)
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(1, -(-total // bytes_per_bucket))
+    bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            order = np.argsort(own, kind="stable")
+            starts = np.flatnonzero(np.concatenate(([True], np.diff(own[order]) != 0))) if len(own) else []
+            blocks = []
+            for places in np.split(order, starts[1:]) if len(own) else []:
+                part = batch.select(["doc_id", "text"]).take(pa.array(places))
+                sink = pa.BufferOutputStream()
+                options = pa.ipc.IpcWriteOptions(compression="zstd")
+                with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
+                    writer.write_batch(part)
+                blocks.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own[order][starts] if len(own) else [], pa.int32()), pa.array(blocks, pa.binary())],
+                ["bucket", "block"],
+            )
+
+    blocks = rows.select(bucket.alias("bucket"), "doc_id", "text").mapInArrow(pack, "bucket int, block binary")
+    return blocks.repartition(buckets, "bucket"), buckets, rows.schema["doc_id"].dataType.simpleString()
+
+
+def unpacked(blocks: pa.Array) -> Iterator[pa.Table]:
+    """Tables of doc_id and text, one for each block."""
+    for block in blocks:
+        yield pa.ipc.open_stream(block.as_buffer()).read_all()

@@ -26,11 +26,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codays.llm.buckets import dealt
-from codays.llm.shingles import in_parts
+from codays.llm.buckets import packed, unpacked
 
 #: A worker holds a bucket's texts, its words and all ids at once.
-BYTES_PER_BUCKET = 8_000_000
+BYTES_PER_BUCKET = 12_000_000
 SLOTS = 1 << 16
 NO_RANK = 2**31 - 1
 #: The fold takes time with the square of a word; longer ones are merged with a heap.
@@ -154,17 +153,17 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in pieces if p is not None]
 
 
-def distinct_words(bucketed: DataFrame, pattern: str) -> DataFrame:
+def distinct_words(blocks: DataFrame, pattern: str) -> DataFrame:
     """(bucket, word) once per task that holds the bucket, words up to ``LONG_WORD`` bytes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_in = regex.compile(pattern).findall
         found: dict[int, set[str]] = {}
         for batch in batches:
-            texts, buckets = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for part in in_parts(texts):
-                for k in part:
-                    found.setdefault(buckets[k], set()).update(words_in(texts[k]))
+            for bucket, table in zip(batch.column(0).to_pylist(), unpacked(batch.column(1))):
+                words = found.setdefault(bucket, set())
+                for text in table.column("text"):
+                    words.update(words_in(text.as_py()))
         for bucket, words in found.items():
             short = [w for w in words if len(w) <= LONG_WORD // 4 or len(w.encode()) <= LONG_WORD]
             for start in range(0, len(short), 50_000):
@@ -174,8 +173,7 @@ def distinct_words(bucketed: DataFrame, pattern: str) -> DataFrame:
                     ["bucket", "word"],
                 )
 
-    # All columns are taken, so that this and the look-up read one shuffle of the texts.
-    return bucketed.mapInArrow(find, "bucket int, word string")
+    return blocks.mapInArrow(find, "bucket int, word string")
 
 
 def encode_documents(
@@ -187,30 +185,34 @@ def encode_documents(
     an empty table gives no rows. Only doc_id and text are read.
     """
     ranks = read_ranks(ranks_path)
-    bucketed, buckets = dealt(docs, bytes_per_bucket=bytes_per_bucket)
-    asked = distinct_words(bucketed, pattern).groupBy("word").agg(F.collect_set("bucket").alias("buckets"))
+    # Word lists and look-up read one shuffle of the texts, in compressed blocks.
+    blocks, buckets, doc_id = packed(docs, bytes_per_bucket)
+    asked = distinct_words(blocks, pattern).groupBy("word").agg(F.collect_set("bucket").alias("buckets"))
     known = asked.withColumn("ids", F.unhex(encoded_word(F.col("word"), ranks))).select(
         F.explode("buckets").alias("bucket"), "word", "ids"
     )
-    doc_id = bucketed.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def put_together(texts: pa.Table, words: pa.Table) -> pa.Table:
         ids_of = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
         words_in = regex.compile(pattern).findall
-        encoded = []
-        for text in texts.column("text"):
-            found = words_in(text.as_py())
-            try:
-                encoded.append(b"".join(map(ids_of.__getitem__, found)))
-            except KeyError:
-                for word in set(found).difference(ids_of):
-                    ids_of[word] = np.array(merge_long(word.encode(), shared.value), "<u4").tobytes()
-                encoded.append(b"".join(map(ids_of.__getitem__, found)))
-        return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.array(encoded, pa.binary())})
+        kept, encoded = [], []
+        for table in unpacked(texts.column("block")):
+            kept.append(table.column("doc_id"))
+            for text in table.column("text"):
+                found = words_in(text.as_py())
+                try:
+                    encoded.append(b"".join(map(ids_of.__getitem__, found)))
+                except KeyError:
+                    for word in set(found).difference(ids_of):
+                        ids_of[word] = np.array(merge_long(word.encode(), shared.value), "<u4").tobytes()
+                    encoded.append(b"".join(map(ids_of.__getitem__, found)))
+        ids = pa.array(encoded, pa.binary())
+        doc_ids = pa.chunked_array([c for column in kept for c in column.chunks]) if kept else ids
+        return pa.table({"doc_id": doc_ids, "ids": ids})
 
     return (
-        bucketed.groupBy("bucket")
+        blocks.groupBy("bucket")
         .cogroup(known.repartition(buckets, "bucket").groupBy("bucket"))
         .applyInArrow(put_together, f"doc_id {doc_id}, ids binary")
     )
