@@ -9,8 +9,11 @@ has to be made distinct afterwards.
 
 Pivots are a bounded sample, the distinct vectors with the smallest seeded
 hashes, and grow in number with the square root of the rows up to a stated
-bound, which keeps lists short. Lists are cut into blocks and each pair of
-blocks is a group of its own, so a list may hold any share of all vectors.
+bound, which keeps lists short. Of drawn vectors that are close together only the
+first becomes a pivot: many pivots inside one dense group would be ordered by each
+member's own noise, and its members would name unrelated ones. Lists are cut into
+blocks and each pair of blocks is a group of its own, so a list may hold any share
+of all vectors.
 Pairs are never written: a group returns how many links each vector has in it
 and, for each vector, one edge to the smallest vector it hangs together with.
 Equal vectors are one entry with a number of copies.
@@ -68,14 +71,30 @@ def unit_rows(vectors: list | pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def choose_pivots(vectors: DataFrame, rows: int) -> dict[int, np.ndarray]:
+def thinned(rows: np.ndarray, least: float) -> np.ndarray:
+    """Unit rows, in order, without those too close to one that is kept.
+
+    Kept rows are more than twice the linking angle apart, so all that links with
+    one vector has a pivot or two among it, however many were drawn there.
+    """
+    closest = np.cos(min(2 * np.arccos(np.clip(least, -1, 1)), np.pi / 2))
+    free = np.ones(len(rows), bool)
+    kept = []
+    for k in range(len(rows)):
+        if free[k]:
+            kept.append(k)
+            free &= rows @ rows[k] < closest
+    return rows[kept]
+
+
+def choose_pivots(vectors: DataFrame, rows: int, least: float) -> dict[int, np.ndarray]:
     """Pivots for each length of vector: at most ``MOST_PIVOTS`` rows reach the driver."""
     wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(rows**0.5)))
     drawn = vectors.orderBy(F.xxhash64("key", F.lit(SEED)), "key").limit(wanted).select("v").collect()
     by_length: dict[int, list] = {}
     for row in drawn:
         by_length.setdefault(len(row.v), []).append(row.v)
-    return {length: unit_rows(v) for length, v in by_length.items()}
+    return {length: thinned(unit_rows(v), least) for length, v in by_length.items()}
 
 
 def named_pivots(rows: np.ndarray, pivots: np.ndarray, named: int = NAMED_PIVOTS) -> np.ndarray:
@@ -141,7 +160,7 @@ def near_duplicates(
     """
     vectors = staged(distinct_vectors(embeddings), "vectors")
     rows = vectors.count()
-    pivots = choose_pivots(vectors, rows)
+    pivots = choose_pivots(vectors, rows, least)
 
     def describe(frames):
         for frame in frames:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from codays.llm import pivots
 from codays.llm.components import components
 from codays.llm.pivots import near_duplicates
 from codays.llm.top_k import SortedLists, quantised, top_k
@@ -59,6 +60,24 @@ def test_near_duplicates_against_brute_force(spark):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
 
 
+def test_links_in_a_dense_group_with_hundreds_of_pivots(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    n, width = 1500, 64
+    vectors = rng.normal(size=(n, width))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    centre = vectors[0]
+    for i in range(1, n // 3):
+        noise = vectors[i] - (vectors[i] @ centre) * centre
+        c = rng.uniform(0.95, 0.98)
+        vectors[i] = c * centre + np.sqrt(1 - c * c) * noise / np.linalg.norm(noise)
+    monkeypatch.setattr(pivots, "LEAST_PIVOTS", 900)
+    rows = [(i, [float(x) for x in v], None, None) for i, v in enumerate(vectors)]
+    got = {r.vec_id: r.n_links for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    linked = vectors @ vectors.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert sum(got.values()) >= 0.999 * linked.sum()
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(1)
     vectors = [*rng.normal(0, 0.1, (400, 16)), *[np.full(16, 0.25)] * 40]
