@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from codays.llm import attention
+from codays.llm import attention, lm
 from codays.llm.byte_bpe import merge_long, read_ranks, round_trip
 from codays.llm.forest import jaccard_join, keep_one_each, prefix_length
 from codays.llm.lm import score_texts, words_of
@@ -226,6 +226,22 @@ def test_language_model(spark):
     assert score_texts(frame(spark, []), RANKS, PATTERN).collect() == []
 
 
+def test_attention_learns_from_every_window(spark):
+    class Given:
+        frequencies = np.full(attention.CLASSES, 1 / attention.CLASSES)
+
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 120, n).astype(np.uint8).tobytes() for n in (3_000, 20, 700, 5)]
+    encoded = spark.createDataFrame([(t, False) for t in texts], "classes binary, held_out boolean").coalesce(1)
+    got = lm.train_attention(encoded, Given)
+    inputs, targets, lengths = lm._sequences(texts)
+    starts, held, _ = attention.windows(lengths)
+    weights = attention.train(attention.initial(Given.frequencies), inputs, targets, starts, held)
+    expected = attention.Scorer.of(attention.shaped(attention.flat(weights)), Given.frequencies)
+    assert np.allclose(got.output, expected.output, atol=1e-4)
+    assert np.allclose(got.embedding, expected.embedding, atol=1e-4)
+
+
 def test_attention_gradient_and_windows():
     rng = np.random.default_rng(0)
     w = attention.initial(np.full(attention.CLASSES, 1 / attention.CLASSES))
