@@ -226,6 +226,28 @@ def test_language_model(spark):
     assert score_texts(frame(spark, []), RANKS, PATTERN).collect() == []
 
 
+def test_no_pair_of_subwords_is_cut(spark, monkeypatch):
+    """Scores are the same whatever bound is set on pairs, and in any number of parts."""
+    random.seed(9)
+    words = ["".join(random.choices("kzvxqwyj", k=9)) for _ in range(150)]
+    docs = frame(spark, [(i, " ".join(random.choices(words, k=30)) + f" {words[i][:6]}") for i in range(60)])
+    whole = {r.doc_id: r.score for r in score_texts(docs, RANKS, PATTERN).collect()}
+    monkeypatch.setattr(lm, "MOST_PAIRS", 5, raising=False)
+    monkeypatch.setattr(lm, "WORDS_PER_PART", 20, raising=False)
+    cut = {r.doc_id: r.score for r in score_texts(docs, RANKS, PATTERN).collect()}
+    assert cut == pytest.approx(whole, rel=1e-3)
+
+
+def test_spellings_sum_to_one():
+    pairs = [(0, 1, 4), (0, 2, 1), (1, 1, 2)]
+    onward, arrived = [(0, 5), (1, 2)], [(1, 6), (2, 1)]
+    vocabulary = lm.Vocabulary([(0, 5, 3)], [(1, 3)], onward, arrived, 3, 1)
+    known = np.array([3 * a + b for a, b, _ in pairs]), np.array([n for _, _, n in pairs])
+    for one in range(3):
+        shares = vocabulary._follows(np.full(3, one), np.arange(3), known) - vocabulary.goes_on[one]
+        assert (10**shares).sum() == pytest.approx(1)
+
+
 def test_attention_learns_from_every_window(spark):
     class Given:
         frequencies = np.full(attention.CLASSES, 1 / attention.CLASSES)
