@@ -1,7 +1,7 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-Counting: a hashed table of fixed size holds, by class, how many labelled training
-documents have a word; counting documents keeps one text that repeats itself from
+Counting: an exact table holds, by class, how many labelled training documents
+have a word, and sums of that by stem; counting documents keeps one text that repeats itself from
 speaking for its class. The log-odds of a word between toxic and clean documents
 have a Dirichlet prior that follows its beginning of seven letters, whose own
 prior follows that of six, and so on down to three, so rare and unseen words
@@ -16,14 +16,15 @@ best segment, and of all significant ones together, gives a probability by a
 logistic calibration, for which a document's own words are left out of the
 counts.
 
-The model has a fixed number of cells and is broadcast. Documents are only
+The model has an entry per word and stem of the labelled sample, sixteen bytes of
+digest and two counts each, and is broadcast; it is bounded by the sample. Documents are only
 mapped over, whole, and never shuffled. Labels are joined as a broadcast sample
 of at most ``LABELLED_ROWS`` rows; calibration takes ``CALIBRATION_ROWS`` of
 these. Everything else is computed over all documents.
 """
 
+import hashlib
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -39,25 +40,27 @@ LABELLED_ROWS = 200_000
 CALIBRATION_ROWS = 20_000
 HELD_OUT_MODULUS = 5
 STEMS = (3, 4, 5, 6, 7)
-STEM_CELLS = 1 << 17
-WORD_CELLS = 1 << 18
-CELLS = len(STEMS) * STEM_CELLS + WORD_CELLS
 PRIOR = 4.0
 #: A word counts as toxic from this log-odds and this many standard deviations on.
 LEAST_LOG_ODDS, SIGNIFICANCE = 2.0, 3.0
 DRIFT = 0.1
 MOST_REMEMBERED = 400_000
+MOST_COUNTED = 500_000
+NO_KEYS = np.array([], "S16")
 WORDS = re.compile(r"\w+").findall
 
 
-def cells_of(words: list[str]) -> np.ndarray:
-    """Cells of the stems and of the word itself, one row per word, widest class first."""
-    rows = [
-        [zlib.crc32(w[:n].encode()) % STEM_CELLS + k * STEM_CELLS for k, n in enumerate(STEMS)]
-        + [zlib.crc32(w.encode()) % WORD_CELLS + len(STEMS) * STEM_CELLS]
-        for w in words
-    ]
-    return np.array(rows, np.int64).reshape(len(words), len(STEMS) + 1)
+def keys_of(word: str) -> list[str]:
+    """Names of the stems of a word and of the word itself, widest class first.
+
+    A word that is shorter than a stem is the only one with it.
+    """
+    return [f"{n}{word[:n]}" if len(word) >= n else f"0{word}" for n in STEMS] + [f"0{word}"]
+
+
+def digests_of(keys: list[str]) -> np.ndarray:
+    """Sixteen bytes for each name, as Spark's md5 of it gives them."""
+    return np.frombuffer(b"".join(hashlib.md5(k.encode()).digest() for k in keys), "S16") if keys else NO_KEYS
 
 
 def words_of(text: str) -> list[str]:
@@ -96,8 +99,12 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass
 class ToxicityModel:
-    """Class counts per cell, the extreme-value law and the calibration."""
+    """Class counts per word and stem, the extreme-value law and the calibration.
 
+    ``keys`` are digests in order; both counts have a zero more, for unknown names.
+    """
+
+    keys: np.ndarray
     toxic: np.ndarray
     clean: np.ndarray
     scale: float
@@ -106,10 +113,18 @@ class ToxicityModel:
     weights: tuple[float, ...] = (-2.0, 1.0, 0.0)
     known: dict[str, float] = field(default_factory=dict)
 
+    def cells_of(self, words: list[str]) -> np.ndarray:
+        """Places of the stems and of the word itself, one row per word; the last one if not counted."""
+        wanted = digests_of([key for word in words for key in keys_of(word)])
+        at = np.searchsorted(self.keys, wanted)
+        if len(self.keys):
+            at[self.keys[np.minimum(at, len(self.keys) - 1)] != wanted] = len(self.keys)
+        return at.reshape(len(words), len(STEMS) + 1)
+
     def word_scores(self, words: list[str], own: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """Scores of distinct words; ``own`` counts are left out first."""
         share = np.full(len(words), 0.5)
-        cells = cells_of(words)
+        cells = self.cells_of(words)
         odds = spread = np.zeros(len(words))
         for level in range(cells.shape[1]):
             toxic, clean = self.toxic[cells[:, level]], self.clean[cells[:, level]]
@@ -137,7 +152,7 @@ class ToxicityModel:
     def scores_without(self, words: list[str], toxic: bool) -> np.ndarray:
         """Scores of a training document's words as if it had not been counted."""
         fresh = list(dict.fromkeys(words))
-        cells = cells_of(fresh)
+        cells = self.cells_of(fresh)
         own = np.zeros(cells.shape)
         for level, column in enumerate(cells.T):
             _, at, times = np.unique(column, return_inverse=True, return_counts=True)
@@ -211,36 +226,51 @@ def _labelled(docs: DataFrame, labels: DataFrame, rows: int, training: Column) -
     return ids_and_texts(docs).join(F.broadcast(sample), "doc_id").select("toxic", "text")
 
 
-def count_classes(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts per cell in toxic and in clean documents; fixed in size."""
+def count_classes(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Digests of words and stems in order, how many toxic and clean documents have
+    them, and the ratio of toxic to clean words. Bounded by the labelled sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, CELLS), np.int64)
+        sums: dict[str, list[int]] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            keys, counts = list(sums), np.array(list(sums.values()), np.int64).reshape(-1, 2)
+            sums.clear()
+            for start in range(0, len(keys), 50_000):
+                part = slice(start, start + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[part]), pa.array(counts[part, 1]), pa.array(counts[part, 0])],
+                    ["name", "toxic", "clean"],
+                )
+
         for batch in batches:
-            by_class = {False: Counter(), True: Counter()}
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_class[toxic].update(set(words_of(text)))
-            for toxic, counts in by_class.items():
-                if counts:
-                    n = np.fromiter(counts.values(), np.int64, len(counts))
-                    for column in cells_of(list(counts)).T:
-                        np.add.at(sums[int(toxic)], column, n)
-        cells = np.flatnonzero(sums.any(axis=0))
-        for start in range(0, len(cells), 50_000):
-            part = cells[start : start + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(sums[1, part]), pa.array(sums[0, part])],
-                ["cell", "toxic", "clean"],
-            )
-
-    counted = labelled.mapInArrow(count, "cell bigint, toxic bigint, clean bigint")
-    summed = counted.groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # Columns, not rows, reach the driver: at most ``CELLS`` of three numbers.
-    cell, counted_toxic, counted_clean = (c.to_numpy() for c in summed.toArrow().columns)
-    toxic, clean = np.zeros(CELLS), np.zeros(CELLS)
-    toxic[cell] = counted_toxic
-    clean[cell] = counted_clean
-    return toxic, clean
+                for word in set(words_of(text)):
+                    for key in set(keys_of(word)):
+                        sums.setdefault(key, [0, 0])[int(toxic)] += 1
+                if len(sums) > MOST_COUNTED:
+                    yield from told()
+        yield from told()
+
+    counted = labelled.mapInArrow(count, "name string, toxic bigint, clean bigint")
+    summed = counted.groupBy("name").agg(
+        F.sum("toxic").cast("int").alias("toxic"), F.sum("clean").cast("int").alias("clean")
+    )
+    named = summed.select(
+        F.unhex(F.md5(F.encode("name", "utf-8"))).alias("key"),
+        "toxic",
+        "clean",
+        F.col("name").startswith("0").alias("whole"),
+    )
+    # Columns, not rows, reach the driver.
+    table = named.toArrow()
+    digests = [np.frombuffer(c.buffers()[2], "S16", len(c)) for c in table.column("key").chunks if len(c)]
+    keys = np.concatenate([NO_KEYS, *digests])
+    toxic, clean, whole = (table.column(c).to_numpy() for c in ("toxic", "clean", "whole"))
+    order = np.argsort(keys, kind="stable")
+    scale = float((toxic[whole].sum() + 1) / (clean[whole].sum() + 1))
+    counts = [np.append(n[order], 0).astype(np.float32) for n in (toxic, clean)]
+    return keys[order], *counts, scale
 
 
 def train(
@@ -258,10 +288,7 @@ def train(
     """
     if training is None:
         training = remainder(HELD_OUT_MODULUS) != 0
-    toxic, clean = count_classes(_labelled(docs, labels, labelled_rows, training))
-    words = slice(len(STEMS) * STEM_CELLS, None)
-    scale = float((toxic[words].sum() + 1) / (clean[words].sum() + 1))
-    model = ToxicityModel(toxic.astype(np.float32), clean.astype(np.float32), scale)
+    model = ToxicityModel(*count_classes(_labelled(docs, labels, labelled_rows, training)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

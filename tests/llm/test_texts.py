@@ -16,7 +16,7 @@ from codays.llm.byte_bpe import merge_long, read_ranks, round_trip
 from codays.llm.forest import jaccard_join, keep_one_each, prefix_length
 from codays.llm.lm import score_texts, words_of
 from codays.llm.mixing import MOST_REPEATS, mixture, mixture_sql
-from codays.llm.toxicity import maximal_segments, toxicity
+from codays.llm.toxicity import maximal_segments, toxicity, train
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -85,6 +85,27 @@ def test_toxicity_finds_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_no_two_words_share_a_count(spark):
+    """A toxic word keeps its log-odds beside a frequent clean word of the same checksum."""
+    cell = zlib.crc32(b"vilest") % (1 << 18)
+    other = next(w for w in (f"calm{k}" for k in range(10**8)) if zlib.crc32(w.encode()) % (1 << 18) == cell)
+    random.seed(12)
+    common = [f"word{k}" for k in range(200)]
+    texts = [
+        (i, " ".join([*random.choices(common, k=40), "vilest" if i % 6 == 0 else other, "été"])) for i in range(600)
+    ]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    model = train(frame(spark, texts), labels)
+    scores = model.word_scores(["vilest", other, "été", "word7"])
+    assert scores[0] > 2 and (scores[1:] < 0).all()
+    kept = [(i, t) for i, t in texts if zlib.crc32(str(i).encode()) % 5]
+    for word in ("vilest", other, "été", "word7"):
+        place = model.cells_of([word])[0, -1]
+        toxic = sum(word in t.split() for i, t in kept if i % 6 == 0)
+        assert model.toxic[place] == toxic
+        assert model.clean[place] == sum(word in t.split() for i, t in kept) - toxic
+
+
 def test_toxicity_without_rows_or_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity(frame(spark, []), empty).collect() == []
