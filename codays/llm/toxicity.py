@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codays.llm.common import ids_and_texts, remainder, text_of
+from codays.session import staged
 
 LABELLED_ROWS = 200_000
 CALIBRATION_ROWS = 20_000
@@ -297,34 +298,33 @@ def train(
             for is_toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text)
                 found = maximal_segments(shared.value.scores_without(words, is_toxic))
-                best = sorted((s for _, _, s in found), reverse=True)
-                rows.append((is_toxic, len(words), best[:64]))
+                rows.append((is_toxic, max(1, len(words)), [s for _, _, s in found]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), pa.int64(), pa.list_(pa.float64())))],
-                ["toxic", "n", "best"],
+                ["toxic", "n", "scores"],
             )
 
     sample = _labelled(docs, labels, calibration_rows, training)
-    seen = sample.mapInArrow(describe, "toxic boolean, n bigint, best array<double>").toPandas()
+    described = staged(
+        sample.mapInArrow(describe, "toxic boolean, n bigint, scores array<double>"), "segments"
+    )
+    seen = described.select("toxic", "n", F.coalesce(F.array_max("scores"), F.lit(0.0)).alias("best")).toPandas()
     is_toxic = seen["toxic"].to_numpy(dtype=bool)
     if not is_toxic.any() or is_toxic.all():
         return model
-    size = np.maximum(seen["n"].to_numpy(), 1)
-    best = np.array([b[0] if len(b) else 0.0 for b in seen["best"]])
+    best, size = seen["best"].to_numpy(), seen["n"].to_numpy()
     calm = ~is_toxic & (best > 0)
     model.decay, model.log_rate = fit_extreme_values(best[calm], size[calm])
-    features = np.array(
-        [
-            evidence(
-                [
-                    (0, 0, e)
-                    for e in (model.decay * s - model.log_rate - np.log(n) for s in scores)
-                    if e > 0
-                ]
-            )
-            for scores, n in zip(seen["best"], size)
-        ]
-    )
+    # Two numbers a text reach the driver, however many segments it has.
+    judged = F.transform("scores", lambda s: model.decay * s - model.log_rate - F.log("n"))
+    told = F.filter(judged, lambda e: e > 0)
+    none = F.lit(0.0)
+    seen = described.select(
+        "toxic",
+        F.log1p(F.coalesce(F.array_max(told), none)).alias("best"),
+        F.log1p(F.aggregate(told, none, lambda total, e: total + e)).alias("together"),
+    ).toPandas()
+    is_toxic, features = seen["toxic"].to_numpy(dtype=bool), seen[["best", "together"]].to_numpy()
     model.weights = tuple(fit_logistic(features, is_toxic.astype(float)).tolist())
     return model
 

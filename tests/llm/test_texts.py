@@ -16,7 +16,8 @@ from codays.llm.byte_bpe import merge_long, read_ranks, round_trip
 from codays.llm.forest import jaccard_join, keep_one_each, prefix_length
 from codays.llm.lm import score_texts, words_of
 from codays.llm.mixing import MOST_REPEATS, mixture, mixture_sql
-from codays.llm.toxicity import maximal_segments, toxicity, train
+from codays.llm.toxicity import evidence, fit_logistic, maximal_segments, toxicity, train
+from codays.llm.toxicity import words_of as toxicity_words
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -106,6 +107,25 @@ def test_no_two_words_share_a_count(spark):
         assert model.clean[place] == sum(word in t.split() for i, t in kept) - toxic
 
 
+def test_toxicity_is_calibrated_on_all_passages(spark):
+    random.seed(13)
+    common = [f"word{k}" for k in range(200)]
+    texts = []
+    for i in range(300):
+        passages = (100 if i % 60 == 0 else 2) if i % 6 == 0 else 0
+        words = random.choices(common, k=40)
+        for _ in range(passages):
+            words += [*["vilest"] * 4, *random.choices(common, k=600)]
+        texts.append((i, " ".join(words)))
+    given = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    model = train(frame(spark, texts), given)
+    kept = [(i % 6 == 0, toxicity_words(t)) for i, t in texts if zlib.crc32(str(i).encode()) % 5]
+    passages = [model.passages(model.scores_without(words, toxic)) for toxic, words in kept]
+    assert max(map(len, passages)) > 64
+    expected = fit_logistic(np.array([evidence(p) for p in passages]), np.array([float(t) for t, _ in kept]))
+    assert model.weights == pytest.approx(tuple(expected), rel=1e-3)
+
+
 def test_toxicity_without_rows_or_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity(frame(spark, []), empty).collect() == []
