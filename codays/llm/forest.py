@@ -1,11 +1,10 @@
-"""N-gram Jaccard join through an LSH forest of MinHash signatures.
+"""N-gram Jaccard join through banded MinHash signatures.
 
-Every text has a signature of MinHash values per tree; in the order of the
-signatures a tree is a prefix trie. Two texts of similarity s share a prefix of
-length d in one of L trees with probability ``1 - (1 - s^d)^L``. Matched
-prefixes are shortened from the full signature until that reaches the target
-recall at the least similarity, and texts below the same node of that depth are
-candidates.
+Every text has MinHash values per tree, or band. Two texts of similarity s share
+all d values of one of L trees with probability ``1 - (1 - s^d)^L``. The depth d is
+fixed: the longest that reaches the target recall at the least similarity. Texts
+at the same node of that depth are candidates. An LSH forest would come down to
+this depth from longer prefixes; all pairs are wanted here, so that is left out.
 
 Texts below a node are hung on the smallest of them, so a node with any number
 of texts gives as many edges as texts. What hangs together is verified
