@@ -9,6 +9,7 @@ from codays.llm.byte_bpe import round_trip
 from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
 from codays.llm.forest import jaccard_join
+from codays.llm.hard_negatives import hard_negatives, hard_negatives_sql
 from codays.llm.lm import score_texts
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.pivots import near_duplicates
@@ -62,6 +63,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(table(spark, folder, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
@@ -73,9 +78,11 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixture": op9_mixture,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 LLM_SQL: dict[str, str] = {
     "op5_exact_top_k": nearest_rows_sql(),
     "op9_mixture": mixture_sql(),
+    "op13_hard_negatives": hard_negatives_sql(),
 }
