@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from codays.llm.byte_bpe import round_trip
 from codays.llm.chat import format_conversations, read_back, with_forged_markers
 from codays.llm.common import table
+from codays.llm.decontaminate import decontaminate, decontaminate_sql
 from codays.llm.forest import jaccard_join
 from codays.llm.hard_negatives import hard_negatives, hard_negatives_sql
 from codays.llm.lm import score_texts
 from codays.llm.mixing import mixture, mixture_sql
 from codays.llm.pivots import near_duplicates
+from codays.llm.spelling import spelling_variants
 from codays.llm.suffix_dedup import remove_repeats
 from codays.llm.token_counts import count_tokens
 from codays.llm.toxicity import toxicity
@@ -63,6 +65,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives(table(spark, folder, "embeddings"))
 
@@ -78,11 +88,14 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixture": op9_mixture,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_decontamination": op12_decontamination,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
 LLM_SQL: dict[str, str] = {
     "op5_exact_top_k": nearest_rows_sql(),
     "op9_mixture": mixture_sql(),
+    "op12_decontamination": decontaminate_sql(),
     "op13_hard_negatives": hard_negatives_sql(),
 }
