@@ -9,19 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codays.fixed_values import METRICS_FOLDER
-from codays.operators.clean import parse_events, reject_audit
+from codays.operators.clean import parse_events, reject_audit, split_rejects
 from codays.operators.contenders import most_frequent_pair
 from codays.operators.counts import count_all_pairs
+from codays.operators.folds import pair_spans
 from codays.operators.grid import (
     cell_days,
     cells_per_day,
     grid_cells,
     repartitioned,
     row_counts,
+    sized_cell_days,
     unique_events,
     valid_cell_days,
 )
@@ -34,6 +36,8 @@ from codays.operators.pairs import (
 from codays.operators.result import top_pair_dates, with_labels
 from codays.plans.analysis import (
     analyse,
+    counts_row,
+    load,
     load_cell_days,
     result_summary,
     result_text,
@@ -49,7 +53,7 @@ from codays.plans.metrics import (
 )
 from codays.session import staged, staging_path
 from codays.sinks.files import overwrite_csv
-from codays.sources.csv_events import load_events, read_event_csv
+from codays.sources.csv_events import load_event_files, load_events, read_event_csv
 from codays.sources.seismic import seismic_table
 
 try:  # the operators of training-data pipelines are an optional part
@@ -78,7 +82,7 @@ def _unique(spark: SparkSession, folder: str) -> DataFrame:
 
 def _staged_unique(spark: SparkSession, folder: str) -> DataFrame:
     """For queries that read the unique rows more than once."""
-    return valid_cell_days(load_cell_days(seismic_table(spark, folder)))
+    return sized_cell_days(load_cell_days(seismic_table(spark, folder)))
 
 
 def _analysis(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,6 +108,43 @@ def column_binding(spark: SparkSession, folder: str) -> DataFrame:
     return load_events(spark, path)
 
 
+def _two_layouts(spark: SparkSession, folder: str) -> str:
+    """Files of two layouts below one path: even ids go north, odd ones south.
+
+    The header of the south has the latitude last, for rows without one in front.
+    """
+    path = staging_path(spark, "layouts")
+    raw = seismic_table(spark, folder)
+    overwrite_csv(raw.where("event_id % 2 = 0").select("latitude", "longitude", "date"), f"{path}/north")
+    south = raw.where("event_id % 2 = 1").select(
+        F.when(F.col("event_id") % 7 != 0, F.col("latitude")).alias("x"),
+        "longitude",
+        "date",
+        F.when(F.col("event_id") % 11 != 0, F.col("latitude")).alias("latitude"),
+    )
+    overwrite_csv(south, f"{path}/south")
+    return f"{path}/*"
+
+
+def _side() -> Column:
+    return F.regexp_extract("file", "/(north|south)/[^/]*$", 1).alias("side")
+
+
+def many_files(spark: SparkSession, folder: str) -> DataFrame:
+    rows = load_event_files(spark, _two_layouts(spark, folder))
+    return rows.select(_side(), "latitude", "longitude", "date", "record")
+
+
+def rejected_records(spark: SparkSession, folder: str) -> DataFrame:
+    split = split_rejects(load_event_files(spark, _two_layouts(spark, folder)))
+    return split.rejects.select(_side(), "record", "reason")
+
+
+def split_events(spark: SparkSession, folder: str) -> DataFrame:
+    split = split_rejects(load_event_files(spark, _two_layouts(spark, folder)))
+    return split.events.select(_side(), "latitude", "longitude", "date")
+
+
 def parsed(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).select("event_id", "latitude", "longitude", "date")
 
@@ -204,6 +245,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "csv_scan": csv_scan,
         "column_binding": column_binding,
+        "many_files": many_files,
+        "rejected_records": rejected_records,
+        "split_events": split_events,
+        "pair_spans": lambda spark, folder: pair_spans(_staged_unique(spark, folder)),
         "parse_events": parsed,
         "reject_audit": lambda spark, folder: reject_audit(seismic_table(spark, folder)),
         "grid_cells": lambda spark, folder: grid_cells(_events(spark, folder)),
@@ -211,6 +256,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "repartitioned_events": lambda spark, folder: repartitioned(_unique(spark, folder), 8),
         "cells_per_day": lambda spark, folder: cells_per_day(_unique(spark, folder)),
         "row_counts": lambda spark, folder: row_counts(cell_days(seismic_table(spark, folder))),
+        "loaded_counts": lambda spark, folder: counts_row(spark, load(seismic_table(spark, folder)).counts),
         "cooccurrences": lambda spark, folder: cooccurrences(_staged_unique(spark, folder)),
         "cooccurrences_array": lambda spark, folder: cooccurrences_array(
             _staged_unique(spark, folder)
@@ -342,25 +388,50 @@ def oracle_sql() -> dict[str, str]:
     counts = f"WITH {_PAIRS} SELECT lat1, lon1, lat2, lon2, n FROM counted"
     top = f"WITH {_TOP} SELECT lat1, lon1, lat2, lon2, n FROM top"
     unique = f"WITH {_EVENTS} SELECT lat, lon, date FROM uniq"
+    reasons = """CASE
+        WHEN latitude IS NULL OR latitude = '' THEN 'latitude missing'
+        WHEN TRY_CAST(latitude AS DOUBLE) IS NULL THEN 'latitude not a number'
+        WHEN NOT isfinite(TRY_CAST(latitude AS DOUBLE)) THEN 'latitude not finite'
+        WHEN longitude IS NULL OR longitude = '' THEN 'longitude missing'
+        WHEN TRY_CAST(longitude AS DOUBLE) IS NULL THEN 'longitude not a number'
+        WHEN NOT isfinite(TRY_CAST(longitude AS DOUBLE)) THEN 'longitude not finite'
+        WHEN date IS NULL OR date = '' THEN 'date missing'
+        WHEN length(date) < 10 THEN 'date too short' END"""
+    layouts = f"""{_RAW}, lines AS (
+        SELECT 'north' AS side, latitude, longitude, date,
+          concat_ws(',', coalesce(latitude, ''), coalesce(longitude, ''), date) AS record
+        FROM raw WHERE event_id % 2 = 0
+        UNION ALL
+        SELECT 'south', CASE WHEN event_id % 7 <> 0 OR event_id % 11 <> 0 THEN latitude END, longitude, date,
+          concat_ws(',', CASE WHEN event_id % 7 <> 0 THEN latitude ELSE '' END, coalesce(longitude, ''), date,
+            CASE WHEN event_id % 11 <> 0 THEN latitude ELSE '' END)
+        FROM raw WHERE event_id % 2 = 1)"""
+    row_numbers = f"""WITH {_PAIRS}
+        SELECT (SELECT CAST(count(*) AS BIGINT) FROM raw) AS raw_rows,
+          (SELECT CAST(count(*) AS BIGINT) FROM valid) AS valid_rows,
+          (SELECT CAST(count(*) AS BIGINT) FROM cells) AS total_events,
+          (SELECT CAST(count(*) AS BIGINT) FROM uniq) AS unique_events,
+          (SELECT CAST(count(*) AS BIGINT) FROM instances) AS co_occurrences"""
     return {
         "csv_scan": f"WITH {_RAW} SELECT latitude, longitude, date FROM raw",
         "column_binding": f"""WITH {_RAW}
             SELECT CASE WHEN event_id % 7 = 0 AND event_id % 97 = 0 THEN '45.000'
                         ELSE latitude END AS latitude, longitude, date
             FROM raw""",
+        "many_files": f"WITH {layouts} SELECT side, latitude, longitude, date, record FROM lines",
+        "rejected_records": f"""WITH {layouts}
+            SELECT side, record, reason FROM (SELECT *, {reasons} AS reason FROM lines) WHERE reason IS NOT NULL""",
+        "split_events": f"""WITH {layouts}
+            SELECT side, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+              substr(date, 1, 10) AS date
+            FROM (SELECT *, {reasons} AS reason FROM lines) WHERE reason IS NULL""",
+        "pair_spans": f"""WITH {_PAIRS}
+            SELECT lat1, lon1, lat2, lon2, min(date) AS first_day, max(date) AS last_day,
+              CAST(count(*) AS BIGINT) AS n_days
+            FROM instances GROUP BY lat1, lon1, lat2, lon2""",
         "parse_events": f"WITH {_EVENTS} SELECT event_id, latitude, longitude, date FROM valid",
         "reject_audit": f"""WITH {_RAW}
-            SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (
-              SELECT CASE
-                WHEN latitude IS NULL OR latitude = '' THEN 'latitude missing'
-                WHEN TRY_CAST(latitude AS DOUBLE) IS NULL THEN 'latitude not a number'
-                WHEN NOT isfinite(TRY_CAST(latitude AS DOUBLE)) THEN 'latitude not finite'
-                WHEN longitude IS NULL OR longitude = '' THEN 'longitude missing'
-                WHEN TRY_CAST(longitude AS DOUBLE) IS NULL THEN 'longitude not a number'
-                WHEN NOT isfinite(TRY_CAST(longitude AS DOUBLE)) THEN 'longitude not finite'
-                WHEN date IS NULL OR date = '' THEN 'date missing'
-                WHEN length(date) < 10 THEN 'date too short' END AS reason
-              FROM raw)
+            SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT {reasons} AS reason FROM raw)
             WHERE reason IS NOT NULL GROUP BY reason""",
         "grid_cells": f"WITH {_EVENTS} SELECT event_id, lat, lon, date FROM cells",
         "unique_events": unique,
@@ -369,12 +440,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT date, CAST(count(*) AS BIGINT) AS n_cells,
               CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS n_pairs
             FROM uniq GROUP BY date""",
-        "row_counts": f"""WITH {_PAIRS}
-            SELECT (SELECT CAST(count(*) AS BIGINT) FROM raw) AS raw_rows,
-              (SELECT CAST(count(*) AS BIGINT) FROM valid) AS valid_rows,
-              (SELECT CAST(count(*) AS BIGINT) FROM cells) AS total_events,
-              (SELECT CAST(count(*) AS BIGINT) FROM uniq) AS unique_events,
-              (SELECT CAST(count(*) AS BIGINT) FROM instances) AS co_occurrences""",
+        "row_counts": row_numbers,
+        "loaded_counts": row_numbers,
         "cooccurrences": instances,
         "cooccurrences_array": instances,
         "cooccurrences_blocked": instances,

@@ -37,25 +37,28 @@ def pair_counts(
     strategy: str = DEFAULT_STRATEGY,
     within: tuple[str, ...] = (),
     carry: tuple[str, ...] = (),
+    part: str = "date",
+    weight: str | None = None,
 ) -> DataFrame:
-    """Number of rows per pair, with ``carry`` columns that the pair determines.
+    """Number of rows, or sum of ``weight``, per pair, with ``carry`` columns that the pair determines.
 
     ``within`` names columns that a pair determines and that the rows are
     already partitioned by; grouping by them as well saves the shuffle.
 
     * groupbykey: collect the partial counts of each pair, then sum the list;
-      partial counts are per date bucket, so the list is short for any pair.
-    * aggregatebykey: fold rows into a count per date bucket, combine by sum.
+      partial counts are per bucket of ``part``, so the list is short for any pair.
+    * aggregatebykey: fold rows into a count per bucket, combine by sum.
     * reducebykey: one count with partial aggregation.
     """
     strategy = parse_strategy(strategy)
+    number = F.sum(weight) if weight else F.count("*")
     keys, kept = [*within, *PAIR, *carry], [*PAIR, *carry]
     if strategy == "reducebykey":
-        counted = instances.groupBy(*keys).agg(F.count("*").alias("n"))
+        counted = instances.groupBy(*keys).agg(number.alias("n"))
         return counted.select(*kept, "n")
 
-    bucket = F.pmod(F.xxhash64("date"), F.lit(DATE_BUCKETS)).alias("bucket")
-    partial = instances.groupBy(*keys, bucket).agg(F.count("*").alias("k"))
+    bucket = F.pmod(F.xxhash64(part), F.lit(DATE_BUCKETS)).alias("bucket")
+    partial = instances.groupBy(*keys, bucket).agg(number.alias("k"))
     if strategy == "aggregatebykey":
         return partial.groupBy(*keys).agg(F.sum("k").alias("n")).select(*kept, "n")
     listed = partial.groupBy(*keys).agg(F.collect_list("k").alias("ks"))
@@ -64,8 +67,11 @@ def pair_counts(
 
 
 def count_all_pairs(
-    unique: DataFrame, strategy: str = DEFAULT_STRATEGY, num_partitions: int | None = None
+    unique: DataFrame,
+    strategy: str = DEFAULT_STRATEGY,
+    num_partitions: int | None = None,
+    pairs: int | None = None,
 ) -> DataFrame:
-    """Days per pair for every pair of cells that shares a day."""
-    tiled = tiled_cooccurrences(unique, num_partitions)
+    """Days per pair for every pair of cells that shares a day; ``pairs`` is their number, if known."""
+    tiled = tiled_cooccurrences(unique, num_partitions, pairs=pairs)
     return pair_counts(tiled, strategy, within=TILE)

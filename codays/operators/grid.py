@@ -1,6 +1,6 @@
 """Grid cells, unique (cell, day) rows and row counts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codays.functions import to_grid
@@ -39,6 +39,20 @@ def cell_days(raw: DataFrame) -> DataFrame:
     )
 
 
+def with_day_sizes(days: DataFrame) -> DataFrame:
+    """``cell_days`` with ``n_cells``, the number of cells on the row's day.
+
+    The sizes look at both counts, and dates are matched with nulls as equals, so
+    that the sizes need the very aggregate that the rows need: its shuffle, and the
+    scan below it, is done once for both.
+    """
+    there = (F.col("n_rows") > 0) & (F.col("n_valid") > 0)
+    sizes = days.groupBy("date").agg(F.count_if(there).alias("n_cells")).withColumnRenamed("date", "day")
+    return days.join(sizes, F.equal_null("date", "day"), "left").select(
+        "lat", "lon", "date", "n_rows", "n_valid", "n_cells"
+    )
+
+
 def valid_cell_days(days: DataFrame) -> DataFrame:
     """The unique (cell, day) rows of ``cell_days``.
 
@@ -48,6 +62,30 @@ def valid_cell_days(days: DataFrame) -> DataFrame:
     return days.where("n_valid > 0").select("lat", "lon", "date")
 
 
+def sized_cell_days(days: DataFrame) -> DataFrame:
+    """``valid_cell_days`` of rows from ``with_day_sizes``, with the sizes."""
+    return days.where("n_valid > 0").select("lat", "lon", "date", "n_cells")
+
+
+def row_count_sums() -> dict[str, Column]:
+    """The numbers of ``row_counts`` as sums over the rows of ``with_day_sizes``.
+
+    A cell meets all others of its day, so pairs are half the sum over cells.
+    """
+    valid = F.col("n_valid") > 0
+
+    def total(value):
+        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
+
+    return {
+        "raw_rows": total(F.col("n_rows")),
+        "valid_rows": total(F.col("n_valid")),
+        "total_events": total(F.col("n_valid")),
+        "unique_events": F.count_if(valid),
+        "co_occurrences": F.shiftright(total(F.when(valid, F.col("n_cells") - 1)), 1),
+    }
+
+
 def cells_per_day(unique: DataFrame) -> DataFrame:
     """Number of cells and of cell pairs on each day; no pair is formed."""
     n = F.col("n_cells")

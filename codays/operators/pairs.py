@@ -7,9 +7,13 @@ block size however the rows are spread over days. The number of tasks follows
 from the number of pairs, which is known without forming them.
 
 The unique (cell, day) rows are read more than once, so they should come from
-a staged table.
+a staged table. Where they carry ``n_cells``, the number of cells on their day,
+nothing about days is counted again; rows left out since only make it larger
+than need be.
 """
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +24,70 @@ from codays.session import shuffle_width
 CELLS_PER_BLOCK = 4096
 PAIRS_PER_TASK = 2_000_000
 TILES_PER_TASK = 3
+#: Tiles for each task where they are packed by size.
+TILES_PER_PACKED_TASK = 6
 
 
 def number_of_pairs(unique: DataFrame) -> int:
     """How many (pair, day) rows there are, counted without forming them."""
+    if "n_cells" in unique.columns:
+        return (unique.agg(F.sum(F.col("n_cells") - 1)).first()[0] or 0) // 2
     return cells_per_day(unique).agg(F.sum("n_pairs")).first()[0] or 0
 
 
 def tasks_for(spark: SparkSession, pairs: int, num_partitions: int | None = None) -> int:
-    """Tasks for so many pairs: the given or usual width, or more so that each gets few enough."""
-    return max(shuffle_width(spark, num_partitions), -(-pairs // PAIRS_PER_TASK))
+    """Tasks for so many pairs: the given number, or as many as leave few enough to each."""
+    return num_partitions or max(shuffle_width(spark), -(-pairs // PAIRS_PER_TASK))
+
+
+def packed(sizes: dict[int, int], tasks: int) -> dict[int, int]:
+    """A task for each tile: the largest tile left goes to the task with the least so far."""
+    loads = [(0, task) for task in range(tasks)]
+    given = {}
+    for tile in sorted(sizes, key=lambda t: (-sizes[t], t)):
+        load, task = heapq.heappop(loads)
+        given[tile] = task
+        heapq.heappush(loads, (load + sizes[tile], task))
+    return given
+
+
+def _task_of(tile: Column, tasks: int, sizes: dict[int, int] | None) -> Column:
+    """The task of a tile: dealt out in turn, or packed where the sizes are known."""
+    if not sizes:
+        return (tile % tasks).cast("int")
+    # One literal, of a few numbers for each task.
+    given = packed(sizes, tasks)
+    listed = F.split(F.lit(",".join(str(given.get(t, 0)) for t in range(max(given) + 1))), ",")
+    return F.coalesce(F.get(listed, tile.cast("int")).cast("int"), F.lit(0))
+
+
+def _met_sizes(sizes: DataFrame, pairs: Column, tile: Column) -> dict[int, int]:
+    """Pairs for each tile from ``sizes`` (date, and two lists of block and count)."""
+    a, b = F.col("a"), F.col("b")
+    met = sizes.withColumn("a", F.explode("firsts")).withColumn("b", F.explode("seconds"))
+    met = met.select(a["block"].alias("i"), b["block"].alias("j"), a["n"].alias("n"), b["n"].alias("m"))
+    return dict(met.select(tile.alias("tile"), pairs.alias("k")).groupBy("tile").agg(F.sum("k")).where("tile >= 0").collect())
+
+
+def _block_counts(rows: DataFrame, blocks: int, name: str) -> DataFrame:
+    """For each date the list of its blocks with their numbers of cells, at most ``blocks`` entries."""
+    counts = rows.groupBy("date", cell_block(F.lit(blocks)).cast("int").alias("block")).agg(F.count("*").alias("n"))
+    return counts.groupBy("date").agg(F.collect_list(F.struct("block", "n")).alias(name))
+
+
+TRIANGLE_TILE = "if(i <= j, j * (j + 1) div 2 + i, -1)"
+
+
+def triangle_sizes(rows: DataFrame, blocks: int) -> dict[int, int]:
+    """The exact number of (pair, day) rows of each tile, counted without forming them."""
+    lists = _block_counts(rows, blocks, "firsts").withColumn("seconds", F.col("firsts"))
+    return _met_sizes(lists, F.expr("if(i = j, n * (n - 1) div 2, n * m)"), F.expr(TRIANGLE_TILE))
+
+
+def rectangle_sizes(left: DataFrame, right: DataFrame, blocks: int) -> dict[int, int]:
+    """Rows of ``left`` times rows of ``right`` for each tile."""
+    lists = _block_counts(left, blocks, "firsts").join(_block_counts(right, blocks, "seconds"), "date")
+    return _met_sizes(lists, F.expr("n * m"), F.expr(f"i * {blocks} + j"))
 
 
 def crowded_days(rows: DataFrame, cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
@@ -90,8 +148,7 @@ def cooccurrences(
 
     Days that outgrow a block are split; all others join on the plain day.
     """
-    blocked = with_day_blocks(unique, crowded_days(unique, cells_per_block))
-    return triangular_pairs(blocked, _width(unique, num_partitions))
+    return triangular_pairs(_with_parts(unique, cells_per_block), _width(unique, num_partitions))
 
 
 def cooccurrences_blocked(
@@ -157,6 +214,8 @@ def _array_pairs(meetings: DataFrame, *keys: str, carry: tuple[str, ...] = (), o
 
 def _with_parts(rows: DataFrame, cells: int) -> DataFrame:
     """``blocks`` of a day as the parts that a block of it needs to hold at most ``cells`` cells."""
+    if "n_cells" in rows.columns:
+        return rows.withColumn("blocks", F.greatest(F.ceil(F.col("n_cells") / cells).cast("int"), F.lit(1)))
     return with_day_blocks(rows, crowded_days(rows, cells))
 
 
@@ -172,18 +231,24 @@ def tiled_cooccurrences(
     Cells, not days, are cut into blocks, and rows are shuffled once by tile,
     a pair of blocks ``(i, j)``. A pair always falls into the same tile, so
     grouping by (task, i, j, pair) happens where the pairs are made and no pair
-    is shuffled. Tiles are numbered and dealt out to tasks in turn. Each row is
-    repeated once per block, of which there are enough for a few tiles per
-    task; only rows of days that are too crowded for that are cut further, into
-    parts that meet within the tile.
+    is shuffled. Each row is repeated once per block, of which there are enough
+    for a few tiles per task; only rows of days that are too crowded for that are
+    cut further, into parts that meet within the tile.
+
+    Tiles are numbered and dealt out in turn to as many tasks as the pairs need.
+    Where ``num_partitions`` is given, there are exactly so many tasks, and tiles
+    are packed into them by their exact numbers of pairs.
     """
-    found = number_of_pairs(unique) if pairs is None else pairs
-    tasks = tasks_for(unique.sparkSession, found, num_partitions)
-    blocks = int((2 * TILES_PER_TASK * tasks) ** 0.5) + 1
+    if num_partitions:
+        tasks, blocks = num_partitions, int((2 * TILES_PER_PACKED_TASK * num_partitions) ** 0.5) + 1
+        sizes = triangle_sizes(unique, blocks)
+    else:
+        tasks = tasks_for(unique.sparkSession, number_of_pairs(unique) if pairs is None else pairs)
+        blocks, sizes = int((2 * TILES_PER_TASK * tasks) ** 0.5) + 1, None
     rows = _with_parts(unique, cells_per_block * blocks)
     met = _meetings(rows, cell_block(F.lit(blocks)).cast("int"), F.lit(blocks), F.col("blocks"), carry)
     tile = F.expr("j * (j + 1) div 2") + F.col("i")
-    dealt = met.withColumn("task", (tile % tasks).cast("int")).repartitionById(tasks, "task")
+    dealt = met.withColumn("task", _task_of(tile, tasks, sizes)).repartitionById(tasks, "task")
     return _array_pairs(dealt, "task", "i", "j", carry=carry)
 
 
@@ -200,13 +265,18 @@ def rectangular_cooccurrences(
     Both sides are cut into blocks, and crowded days into parts, like the
     squares of ``tiled_cooccurrences``; the columns are the same.
     """
-    tasks = tasks_for(left.sparkSession, pairs, num_partitions)
-    blocks = int((TILES_PER_TASK * tasks) ** 0.5) + 1
-    crowded = crowded_days(right, cells_per_block * blocks)
+    if num_partitions:
+        tasks, blocks = num_partitions, int((TILES_PER_PACKED_TASK * num_partitions) ** 0.5) + 1
+        sizes = rectangle_sizes(left, right, blocks)
+    else:
+        tasks = tasks_for(left.sparkSession, pairs)
+        blocks, sizes = int((TILES_PER_TASK * tasks) ** 0.5) + 1, None
+    cells = cells_per_block * blocks
+    crowded = None if "n_cells" in left.columns and "n_cells" in right.columns else crowded_days(right, cells)
 
     def side(rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
         placed = (
-            with_day_blocks(rows, crowded)
+            (_with_parts(rows, cells) if crowded is None else with_day_blocks(rows, crowded))
             .withColumn(own, cell_block(F.lit(blocks)).cast("int"))
             .withColumn(f"s{own}", F.pmod(F.xxhash64("lon", "lat", F.lit(1)), F.col("blocks")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -217,7 +287,7 @@ def rectangular_cooccurrences(
 
     met = side(left, "i", "j", "first").unionByName(side(right, "j", "i", "second"), allowMissingColumns=True)
     tile = F.col("i") * blocks + F.col("j")
-    dealt = met.withColumn("task", (tile % tasks).cast("int")).repartitionById(tasks, "task")
+    dealt = met.withColumn("task", _task_of(tile, tasks, sizes)).repartitionById(tasks, "task")
     return _array_pairs(dealt, "task", "i", "j", carry=carry, one_sided=True)
 
 

@@ -25,6 +25,16 @@ def with_labels(pairs: DataFrame) -> DataFrame:
     )
 
 
+def shared_days(unique: DataFrame, lat1: float, lon1: float, lat2: float, lon2: float) -> DataFrame:
+    """The days on which both cells are active; the scan gives rows of these cells only."""
+
+    def at(lat: float, lon: float):
+        return (F.col("lat") == F.lit(lat)) & (F.col("lon") == F.lit(lon))
+
+    both = unique.where(at(lat1, lon1) | at(lat2, lon2))
+    return both.groupBy("date").agg(F.count("*").alias("ends")).where("ends = 2").select("date")
+
+
 def pair_days(unique: DataFrame, top: DataFrame) -> DataFrame:
     """The days on which both cells of the one-row ``top`` are active.
 

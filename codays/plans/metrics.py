@@ -17,8 +17,8 @@ from codays.fixed_values import (
     SWEEP_PARTITIONS,
 )
 from codays.operators.counts import parse_strategy, strategy_name
-from codays.plans.analysis import analyse_cell_days, load_cell_days, result_text
-from codays.session import shuffle_width, staged
+from codays.plans.analysis import Loaded, analyse_loaded, load, result_text
+from codays.session import staged
 from codays.sinks.files import overwrite_csv, overwrite_text
 
 METRICS_SCHEMA = (
@@ -46,7 +46,10 @@ def metrics_row(
     analysis_ms: int,
     timestamp: int,
 ) -> DataFrame:
-    """One metrics row; the number of workers is only recorded."""
+    """One metrics row; the number of workers is only recorded.
+
+    ``num_partitions`` is the number of tasks that counted pairs.
+    """
     given = {
         "approach": F.lit(strategy_name(strategy)),
         "num_workers": F.lit(num_workers),
@@ -61,7 +64,7 @@ def metrics_row(
 
 
 def _timed_analysis(
-    days: DataFrame,
+    loaded: Loaded,
     load_ms: int,
     strategy: str,
     num_partitions: int | None,
@@ -70,17 +73,17 @@ def _timed_analysis(
 ) -> Run:
     strategy = parse_strategy(strategy)
     start = _now_ms()
-    result = staged(analyse_cell_days(days, strategy, num_partitions, search), "result")
+    analysis = analyse_loaded(loaded, strategy, num_partitions, search)
+    result = staged(analysis.result, "result")
     end = _now_ms()
-    width = shuffle_width(days.sparkSession, num_partitions)
-    metrics = metrics_row(result, strategy, num_workers, width, load_ms, end - start, end)
+    metrics = metrics_row(result, strategy, num_workers, analysis.tasks, load_ms, end - start, end)
     return Run(result, metrics)
 
 
-def _timed_load(raw: DataFrame) -> tuple[DataFrame, int]:
+def _timed_load(raw: DataFrame) -> tuple[Loaded, int]:
     start = _now_ms()
-    days = load_cell_days(raw)
-    return days, _now_ms() - start
+    loaded = load(raw)
+    return loaded, _now_ms() - start
 
 
 def timed_run(
@@ -89,9 +92,12 @@ def timed_run(
     num_partitions: int | None = None,
     num_workers: int = 1,
 ) -> Run:
-    """Load and analyse with each part timed around its action; saving is not timed."""
-    days, load_ms = _timed_load(raw)
-    return _timed_analysis(days, load_ms, strategy, num_partitions, num_workers)
+    """Load and analyse with each part timed around its action; saving is not timed.
+
+    A given ``num_partitions`` is the exact number of tasks that count pairs.
+    """
+    loaded, load_ms = _timed_load(raw)
+    return _timed_analysis(loaded, load_ms, strategy, num_partitions, num_workers)
 
 
 def strategy_sweep(
@@ -107,9 +113,9 @@ def strategy_sweep(
     """
     if settings is None:
         settings = [(w, n) for w, counts in SWEEP_PARTITIONS.items() for n in counts]
-    days, load_ms = _timed_load(raw)
+    loaded, load_ms = _timed_load(raw)
     rows = [
-        _timed_analysis(days, load_ms, strategy, partitions, workers, search).metrics
+        _timed_analysis(loaded, load_ms, strategy, partitions, workers, search).metrics
         for workers, partitions in settings
         for strategy in strategies
     ]

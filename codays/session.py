@@ -55,15 +55,17 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """Write ``df`` once as a Parquet table and go on from the written files.
 
+    Rows with different values of ``folders`` go into different folders of it.
+
     Several later branches then read a small columnar table instead of
     repeating the work behind it, and a lost executor cannot undo that work.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(folders) or None)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -86,7 +86,8 @@ def test_tiles_are_dealt_evenly(spark):
 
 
 def test_tasks_follow_the_number_of_pairs(spark):
-    assert [tasks_for(spark, n, 8) for n in (0, 16_000_000, 10**12)] == [8, 8, 500_000]
+    assert [tasks_for(spark, n) for n in (0, 16_000_000, 10**12)] == [4, 8, 500_000]
+    assert [tasks_for(spark, n, 6) for n in (0, 16_000_000, 10**12)] == [6, 6, 6]
 
 
 def test_rectangles_give_each_pair_once(spark, unique, data):
