@@ -25,3 +25,8 @@ def remainder(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     key = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return F.crc32(F.encode(key, "utf-8")) % modulus
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one named ``row``, so that columns beside it cannot clash; ``select("row.*")`` undoes it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

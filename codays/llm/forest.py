@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codays.llm.common import ids_and_texts, text_of
+from codays.llm.common import ids_and_texts, text_of, whole_row
 from codays.llm.components import components, smallest_linked
 from codays.llm.shingles import in_parts, mixed, shingles
 from codays.session import shuffle_width, staged
@@ -245,17 +245,18 @@ def jaccard_join(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
 def keep_one_each(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class: of the smallest doc_id, then text key.
 
-    All columns stay; of rows that repeat one another entirely one is kept.
+    All columns stay, whatever their names and types; null and empty texts are one
+    class. Of rows with the same id and text the one stays whose JSON has the
+    smallest checksum, so of rows that repeat one another entirely one is kept. An
+    empty table gives no rows.
     """
     rows, classes = near_texts(docs, least)
     placed = rows.join(classes.select("key", "class_key"), "key")
     chosen = placed.groupBy("class_key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("one")
     )
-    chosen = chosen.select(F.col("one.doc_id").alias("_one_id"), F.col("one.key").alias("_one_key"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = docs.select("*", text_key().alias("_key")).join(
-        chosen, (F.col("_key") == F.col("_one_key")) & F.col("doc_id").eqNullSafe(F.col("_one_id"))
-    )
-    again = Window.partitionBy("_key").orderBy(*[c for c in columns])
-    return found.withColumn("_again", F.row_number().over(again)).where("_again = 1").select(*columns)
+    chosen = chosen.select(F.col("one.doc_id").alias("one_id"), F.col("one.key").alias("one_key"))
+    found = docs.select(whole_row(docs), text_key().alias("key"))
+    found = found.join(chosen, (F.col("key") == F.col("one_key")) & F.col("row.doc_id").eqNullSafe(F.col("one_id")))
+    one_of = found.groupBy("key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return one_of.select("row.*")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from codays.llm.common import text_of
 from codays.llm.forest import text_key
@@ -293,6 +294,33 @@ def repeated_spans(docs: DataFrame, most_contexts: int = MOST_CONTEXTS) -> tuple
     return anchored.select("doc_id", "key", "n_bytes", "whole_sha256"), cuts
 
 
+def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """UTF-8 text without the spans of bytes, which are widened to whole characters first."""
+
+    def inside(at: int) -> bool:
+        return 0 < at < len(text) and text[at] & 0xC0 == 0x80
+
+    kept, end = [], 0
+    for start, stop in spans:
+        while inside(start):
+            start -= 1
+        while inside(stop):
+            stop += 1
+        kept.append(text[end : max(start, end)])
+        end = max(stop, end)
+    return b"".join([*kept, text[end:]])
+
+
+@F.arrow_udf(StringType())
+def text_without(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts without their spans, in characters; null where there are none."""
+    cut = [
+        None if own is None else without_spans(text.encode(), [(s["start"], s["stop"]) for s in own])
+        for text, own in zip(texts.to_pylist(), spans.to_pylist())
+    ]
+    return pa.array([None if c is None else c.decode() for c in cut], pa.string())
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: a row per row of ``docs``.
 

@@ -1,10 +1,10 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-Counting: an exact table holds, by class, how many labelled training documents
-have a word, and sums of that by stem; counting documents keeps one text that repeats itself from
-speaking for its class. The log-odds of a word between toxic and clean documents
-have a Dirichlet prior that follows its beginning of seven letters, whose own
-prior follows that of six, and so on down to three, so rare and unseen words
+Counting: a Spark table holds, by class, how many labelled training documents
+have a word, and the same by stem; counting documents keeps one text that repeats
+itself from speaking for its class. The log-odds of a word between toxic and clean
+documents have a Dirichlet prior that follows its beginning of seven letters, whose
+own prior follows that of six, and so on down to three, so rare and unseen words
 take after their stems.
 
 Searching: words whose log-odds are large and significant keep them, all others
@@ -13,19 +13,19 @@ below zero. One linear scan finds all maximal scoring segments of a text. A segm
 ``K n exp(-lambda S)`` in clean text; lambda and K are fitted to the best
 segments of clean training documents. The evidence ``lambda S - ln(K n)`` of the
 best segment, and of all significant ones together, gives a probability by a
-logistic calibration, for which a document's own words are left out of the
-counts.
+logistic calibration, for which documents are scored by counts without those of
+their own third.
 
-The model has an entry per word and stem of the labelled sample, sixteen bytes of
-digest and two counts each, and is broadcast; it is bounded by the sample. Documents are only
+Log-odds are computed where the counts are, all names with one beginning of three
+letters together. The model that is broadcast has the telling words, the stems that
+make a word tell which was never counted, and the counted names below such stems that
+do not tell: any other word, counted or not, scores minus the drift. Documents are only
 mapped over, whole, and never shuffled. Labels are joined as a broadcast sample
 of at most ``LABELLED_ROWS`` rows; calibration takes ``CALIBRATION_ROWS`` of
 these. Everything else is computed over all documents.
 """
 
-import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codays.llm.common import ids_and_texts, remainder, text_of
+from codays.llm.common import ids_and_texts, remainder, text_of, whole_row
 from codays.session import staged
 
 LABELLED_ROWS = 200_000
@@ -46,8 +46,13 @@ PRIOR = 4.0
 LEAST_LOG_ODDS, SIGNIFICANCE = 2.0, 3.0
 DRIFT = 0.1
 MOST_REMEMBERED = 400_000
-MOST_COUNTED = 500_000
-NO_KEYS = np.array([], "S16")
+#: Names whose counts a worker holds before it hands them on, about 30 MB.
+MOST_COUNTED = 200_000
+#: Parts of the labelled documents; each is scored by counts of the others.
+FOLDS = 3
+#: Counts of all parts are kept in one number, so many bits for each; there may be fewer labelled rows than that.
+BITS = 21
+GROUPS = 96
 WORDS = re.compile(r"\w+").findall
 
 
@@ -59,11 +64,6 @@ def keys_of(word: str) -> list[str]:
     return [f"{n}{word[:n]}" if len(word) >= n else f"0{word}" for n in STEMS] + [f"0{word}"]
 
 
-def digests_of(keys: list[str]) -> np.ndarray:
-    """Sixteen bytes for each name, as Spark's md5 of it gives them."""
-    return np.frombuffer(b"".join(hashlib.md5(k.encode()).digest() for k in keys), "S16") if keys else NO_KEYS
-
-
 def words_of(text: str) -> list[str]:
     return WORDS(text.lower())
 
@@ -100,69 +100,43 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass
 class ToxicityModel:
-    """Class counts per word and stem, the extreme-value law and the calibration.
+    """Log-odds of telling names, the extreme-value law and the calibration.
 
-    ``keys`` are digests in order; both counts have a zero more, for unknown names.
+    ``telling`` has the log-odds of telling words (with a 0 in front) and of stems
+    (with their length) whose words tell when they were not counted themselves;
+    ``plain`` has the counted names below such a stem that do not tell.
     """
 
-    keys: np.ndarray
-    toxic: np.ndarray
-    clean: np.ndarray
-    scale: float
+    telling: dict[str, float]
+    plain: frozenset[str]
     decay: float = 1.0
     log_rate: float = 0.0
     weights: tuple[float, ...] = (-2.0, 1.0, 0.0)
     known: dict[str, float] = field(default_factory=dict)
 
-    def cells_of(self, words: list[str]) -> np.ndarray:
-        """Places of the stems and of the word itself, one row per word; the last one if not counted."""
-        wanted = digests_of([key for word in words for key in keys_of(word)])
-        at = np.searchsorted(self.keys, wanted)
-        if len(self.keys):
-            at[self.keys[np.minimum(at, len(self.keys) - 1)] != wanted] = len(self.keys)
-        return at.reshape(len(words), len(STEMS) + 1)
-
-    def word_scores(self, words: list[str], own: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-        """Scores of distinct words; ``own`` counts are left out first."""
-        share = np.full(len(words), 0.5)
-        cells = self.cells_of(words)
-        odds = spread = np.zeros(len(words))
-        for level in range(cells.shape[1]):
-            toxic, clean = self.toxic[cells[:, level]], self.clean[cells[:, level]]
-            if own is not None:
-                toxic, clean = np.maximum(toxic - own[0][:, level], 0), np.maximum(clean - own[1][:, level], 0)
-            prior = PRIOR * share, PRIOR * (1 - share)
-            t, c = toxic + prior[0], clean * self.scale + prior[1]
-            odds = np.log(t / c)
-            spread = np.sqrt(1 / (toxic + PRIOR / 2) + 1 / (clean + PRIOR / 2))
-            share = np.clip(t / (t + c), 1e-6, 1 - 1e-6)
-        telling = (odds > LEAST_LOG_ODDS) & (odds > SIGNIFICANCE * spread)
-        return np.where(telling, odds, 0.0) - DRIFT
+    def word_score(self, word: str) -> float:
+        """The log-odds of a word, or of its longest counted stem, less the drift."""
+        name = f"0{word}"
+        odds = self.telling.get(name)
+        if odds is None and name not in self.plain:
+            for n in reversed(STEMS):
+                if len(word) >= n:
+                    stem = f"{n}{word[:n]}"
+                    odds = self.telling.get(stem)
+                    if odds is not None or stem in self.plain:
+                        break
+        return (odds or 0.0) - DRIFT
 
     def token_scores(self, words: list[str]) -> np.ndarray:
         unknown = set(words).difference(self.known)
         if unknown:
-            fresh = list(unknown)
-            self.known.update(zip(fresh, self.word_scores(fresh).tolist()))
+            self.known.update((word, self.word_score(word)) for word in unknown)
         return np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
 
     def forget(self) -> None:
         if len(self.known) > MOST_REMEMBERED:
             self.known = {}
 
-    def scores_without(self, words: list[str], toxic: bool) -> np.ndarray:
-        """Scores of a training document's words as if it had not been counted."""
-        fresh = list(dict.fromkeys(words))
-        cells = self.cells_of(fresh)
-        own = np.zeros(cells.shape)
-        for level, column in enumerate(cells.T):
-            _, at, times = np.unique(column, return_inverse=True, return_counts=True)
-            own[:, level] = times[at]
-        none = np.zeros(cells.shape)
-        scores = self.word_scores(fresh, (own, none) if toxic else (none, own))
-        scored = dict(zip(fresh, scores.tolist()))
-        return np.fromiter(map(scored.__getitem__, words), np.float64, len(words))
-
     def passages(self, scores: np.ndarray) -> list[tuple[int, int, float]]:
         """Significant segments with their evidence: less than one is expected by chance."""
         n = max(1, len(scores))
@@ -217,61 +191,144 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, rows: int, training: Column) -> DataFrame:
-    """toxic and text of at most ``rows`` labelled training documents, by seeded draw."""
+    """toxic, fold and text of at most ``rows`` labelled training documents, by seeded draw."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select(
         "doc_id", (F.col("toxic") != 0).alias("toxic")
     )
     drawn = usable.where(training).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(FOLDS)).cast("int").alias("fold")
     # At most ``rows`` ids and flags, a few megabytes whatever the corpus.
-    return ids_and_texts(docs).join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    return ids_and_texts(docs).join(F.broadcast(sample), "doc_id").select("toxic", fold, "text")
 
 
-def count_classes(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Digests of words and stems in order, how many toxic and clean documents have
-    them, and the ratio of toxic to clean words. Bounded by the labelled sample."""
+def count_classes(labelled: DataFrame) -> DataFrame:
+    """name, toxic, clean: how many toxic and clean documents of each fold have a word or stem.
+
+    The counts of all folds share one number, ``BITS`` for each. The table is
+    staged.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, list[int]] = {}
-
-        def told() -> Iterator[pa.RecordBatch]:
-            keys, counts = list(sums), np.array(list(sums.values()), np.int64).reshape(-1, 2)
-            sums.clear()
-            for start in range(0, len(keys), 50_000):
-                part = slice(start, start + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[part]), pa.array(counts[part, 1]), pa.array(counts[part, 0])],
-                    ["name", "toxic", "clean"],
-                )
+        sums: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        keys: dict[str, list[str]] = {}
+
+        def told() -> pa.RecordBatch:
+            clean, toxic = sums
+            names = list(clean.keys() | toxic.keys())
+            columns = [pa.array([own.get(name, 0) for name in names], pa.int64()) for own in (toxic, clean)]
+            clean.clear(), toxic.clear(), keys.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["name", "toxic", "clean"])
 
         for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for toxic, fold, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "fold", "text"))):
+                own, one, found = sums[toxic], 1 << (BITS * fold), set()
                 for word in set(words_of(text)):
-                    for key in set(keys_of(word)):
-                        sums.setdefault(key, [0, 0])[int(toxic)] += 1
-                if len(sums) > MOST_COUNTED:
-                    yield from told()
-        yield from told()
+                    if word not in keys:
+                        keys[word] = keys_of(word)
+                    found.update(keys[word])
+                for name in found:
+                    own[name] = own.get(name, 0) + one
+                if len(sums[0]) + len(sums[1]) > MOST_COUNTED or len(keys) > MOST_COUNTED:
+                    yield told()
+        yield told()
 
     counted = labelled.mapInArrow(count, "name string, toxic bigint, clean bigint")
-    summed = counted.groupBy("name").agg(
-        F.sum("toxic").cast("int").alias("toxic"), F.sum("clean").cast("int").alias("clean")
+    return staged(
+        counted.groupBy("name").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "class-counts"
     )
-    named = summed.select(
-        F.unhex(F.md5(F.encode("name", "utf-8"))).alias("key"),
-        "toxic",
-        "clean",
-        F.col("name").startswith("0").alias("whole"),
+
+
+def by_fold(packed: np.ndarray) -> np.ndarray:
+    """Counts without each fold, and of all folds, as columns."""
+    folds = np.stack([packed >> (BITS * k) & ((1 << BITS) - 1) for k in range(FOLDS)], axis=1).astype(np.float64)
+    whole = folds.sum(axis=1, keepdims=True)
+    return np.concatenate((whole - folds, whole), axis=1)
+
+
+def log_odds(names: list[str], toxic: np.ndarray, clean: np.ndarray, scale: np.ndarray):
+    """Log-odds, telling, and below a telling stem, for names by set of counts.
+
+    ``names`` are all that begin with the same three letters, in any order; counts
+    have a column for each set. A stem counts as telling if it makes an uncounted
+    word tell.
+    """
+    place = {name: k for k, name in enumerate(names)}
+    odds = np.zeros(toxic.shape)
+    share = np.full(toxic.shape, 0.5)
+    telling, below = np.zeros(toxic.shape, bool), np.zeros(toxic.shape, bool)
+
+    def apply(at: np.ndarray) -> None:
+        prior = PRIOR * share[at], PRIOR * (1 - share[at])
+        t, c = toxic[at] + prior[0], clean[at] * scale + prior[1]
+        odds[at] = np.log(t / c)
+        share[at] = np.clip(t / (t + c), 1e-6, 1 - 1e-6)
+
+    def follow(at: np.ndarray, above: list[str | None]) -> None:
+        has = np.array([stem in place for stem in above], bool)
+        if has.any():
+            up = np.array([place[stem] for stem, there in zip(above, has) if there])
+            share[at[has]] = share[up]
+            below[at[has]] = below[up] | telling[up]
+
+    by_level: dict[int, list[int]] = {}
+    for k, name in enumerate(names):
+        by_level.setdefault(int(name[0]), []).append(k)
+    for n in STEMS:
+        at = np.array(by_level.get(n, []), np.int64)
+        if len(at):
+            follow(at, [f"{n - 1}{names[k][1:n]}" for k in at])
+            apply(at)
+            telling[at] = odds[at] > max(LEAST_LOG_ODDS, SIGNIFICANCE * (4 / PRIOR) ** 0.5)
+    at = np.array(by_level.get(0, []), np.int64)
+    if len(at):
+        depth = np.array([sum(len(names[k]) - 1 >= n for n in STEMS) for k in at])
+        follow(at, [f"{STEMS[d - 1]}{names[k][1 : STEMS[d - 1] + 1]}" if d else None for k, d in zip(at, depth)])
+        # A word that is shorter than a stem stands in for it as well.
+        for times in range(len(STEMS) + 1):
+            apply(at[times <= len(STEMS) - depth])
+        spread = np.sqrt(1 / (toxic[at] + PRIOR / 2) + 1 / (clean[at] + PRIOR / 2))
+        telling[at] = (odds[at] > LEAST_LOG_ODDS) & (odds[at] > SIGNIFICANCE * spread)
+    return odds, telling, below
+
+
+def learn_names(counts: DataFrame) -> list[ToxicityModel]:
+    """A model without each fold, and one of all counts. Only names that matter reach the driver."""
+    whole = counts.where(F.col("name").startswith("0"))
+    mask = (1 << BITS) - 1
+    folds = [F.sum(F.shiftright(c, BITS * k).bitwiseAND(F.lit(mask))) for c in ("toxic", "clean") for k in range(FOLDS)]
+    sums = np.array([n or 0 for n in whole.agg(*folds).first()], np.float64).reshape(2, FOLDS)
+    sums = np.append(sums.sum(axis=1, keepdims=True) - sums, sums.sum(axis=1, keepdims=True), axis=1)
+    scale = (sums[0] + 1) / (sums[1] + 1)
+
+    def judge(table: pa.Table) -> pa.Table:
+        names = table.column("name").to_pylist()
+        toxic, clean = (by_fold(table.column(c).to_numpy()) for c in ("toxic", "clean"))
+        odds, telling, below = log_odds(names, toxic, clean, scale)
+        rows, sets = np.nonzero(telling | below)
+        return pa.table(
+            {
+                "name": pa.array([names[k] for k in rows], pa.string()),
+                "counts": pa.array(sets.astype(np.int32)),
+                "odds": pa.array(odds[rows, sets], mask=~telling[rows, sets]),
+            }
+        )
+
+    root = F.left(F.substring("name", 2, 3), F.lit(3))
+    group = F.pmod(F.xxhash64(root), F.lit(GROUPS)).cast("int").alias("group")
+    judged = counts.select(group, "name", "toxic", "clean").groupBy("group").applyInArrow(
+        judge, "name string, counts int, odds double"
     )
-    # Columns, not rows, reach the driver.
-    table = named.toArrow()
-    digests = [np.frombuffer(c.buffers()[2], "S16", len(c)) for c in table.column("key").chunks if len(c)]
-    keys = np.concatenate([NO_KEYS, *digests])
-    toxic, clean, whole = (table.column(c).to_numpy() for c in ("toxic", "clean", "whole"))
-    order = np.argsort(keys, kind="stable")
-    scale = float((toxic[whole].sum() + 1) / (clean[whole].sum() + 1))
-    counts = [np.append(n[order], 0).astype(np.float32) for n in (toxic, clean)]
-    return keys[order], *counts, scale
+    found = judged.collect()
+    models = []
+    for k in range(FOLDS + 1):
+        own = [r for r in found if r["counts"] == k]
+        models.append(
+            ToxicityModel(
+                {r.name: r.odds for r in own if r.odds is not None}, frozenset(r.name for r in own if r.odds is None)
+            )
+        )
+    return models
 
 
 def train(
@@ -284,20 +341,22 @@ def train(
     """Learn from labelled documents where ``training`` holds for the doc_id.
 
     Labels with a null id or class are left out, and an id labelled twice is
-    toxic if either label says so. Without any labelled document of either class
-    every text is scored as clean.
+    toxic if either label says so; a document that comes several times counts as
+    often. Without any labelled document of either class every text is scored as
+    clean.
     """
     if training is None:
         training = remainder(HELD_OUT_MODULUS) != 0
-    model = ToxicityModel(*count_classes(_labelled(docs, labels, labelled_rows, training)))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    *partial, model = learn_names(count_classes(_labelled(docs, labels, labelled_rows, training)))
+    shared = docs.sparkSession.sparkContext.broadcast(partial)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for is_toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
-                found = maximal_segments(shared.value.scores_without(words, is_toxic))
+            for is_toxic, fold, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "fold", "text"))):
+                words, without = words_of(text), shared.value[fold]
+                without.forget()
+                found = maximal_segments(without.token_scores(words))
                 rows.append((is_toxic, max(1, len(words)), [s for _, _, s in found]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), pa.int64(), pa.list_(pa.float64())))],
@@ -329,8 +388,10 @@ def train(
     return model
 
 
-def score_texts(docs: DataFrame, model: ToxicityModel, score: str, passages: str) -> DataFrame:
-    """``docs`` with the probability that the text is toxic and its toxic passages.
+def score_texts(
+    docs: DataFrame, model: ToxicityModel, score: str, passages: str, text: str = "text"
+) -> DataFrame:
+    """``docs`` with the probability that ``text`` is toxic and its toxic passages.
 
     Passages are (start, stop, evidence) in words, in order. Null and empty texts
     have none. All columns and rows pass through; ``score`` and ``passages`` name
@@ -369,19 +430,17 @@ def score_texts(docs: DataFrame, model: ToxicityModel, score: str, passages: str
         )
         return pa.array(rows, kind)
 
-    judged = judge(text_of())
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    inner = docs.select(*columns, judged.alias("_judged"))
-    return inner.select(
-        *columns, F.col("_judged.score").alias(score), F.col("_judged.passages").alias(passages)
-    )
+    # Names stay apart from those of ``docs``, whatever these are.
+    inner = docs.select(whole_row(docs), judge(text_of(text)).alias("judged"))
+    return inner.select("row.*", F.col("judged.score").alias(score), F.col("judged.passages").alias(passages))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """What the registered query returns, one row per row of ``docs``.
 
     doc_id, held_out, score, predicted, n_passages. Null ids are scored like any
-    other; an empty table gives no rows.
+    other, null and empty texts have no passage, repeated rows are scored alike;
+    an empty table gives no rows. Only doc_id and text are read.
     """
     model = train(docs, labels)
     scored = score_texts(docs.select("doc_id", "text"), model, "score", "passages")

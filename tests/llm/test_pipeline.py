@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from codays.llm.queries import LLM_QUERIES, LLM_SQL
-from codays.llm.suffix_dedup import remove_repeats
+from codays.llm.suffix_dedup import remove_repeats, without_spans
 
 
 @pytest.mark.parametrize("name", sorted(LLM_SQL))
 def test_query_equals_sql(spark, sf_small, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_small}/{table}.parquet'")
     expected = connection.execute(LLM_SQL[name])
     columns = [c[0] for c in expected.description]
@@ -20,8 +20,8 @@ def test_query_equals_sql(spark, sf_small, name):
     assert sorted(map(tuple, got), key=repr) == sorted(expected.fetchall(), key=repr)
 
 
-def test_ten_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+def test_every_operator_is_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, sf_small):
@@ -37,7 +37,7 @@ def test_stages(spark, sf_small):
     expected = remove_repeats(single).agg(F.sum("n_removed")).first()[0]
     length = F.sum(F.octet_length("text"))
     gone = single.agg(length).first()[0] - cut.agg(length).first()[0]
-    assert expected <= gone <= expected + 4 * single.count()
+    assert expected <= gone <= expected + 6 * single.count()
     assert cut.where(F.col("n_chars") != F.length("text")).count() == single.where(F.col("n_chars") != F.length("text")).count()
     mixed = stages[3](spark, cut, sf_small).cache()
     assert mixed.columns == docs.columns
@@ -55,3 +55,32 @@ def test_stages_take_empty_tables_and_nulls(spark, sf_small):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, sf_small)
         assert docs.count() <= len(rows)
+
+
+def test_stages_keep_columns_of_any_name_and_type(spark, sf_small):
+    """Names that stages use for themselves are only names in the table given."""
+    taken = ["row", "key", "left", "removed", "toxicity", "passages", "judged", "one_id", "one_key", "class_key"]
+    taken += ["words", "size", "times", "copy", "taken", "_key", "_copy", "_again", "a.b"]
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").where("doc_id % 2 = 0")
+    for name in taken:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("map", F.create_map(F.lit("k"), F.col("doc_id"))).cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_small).cache()
+        assert {*taken, "map"} <= set(docs.columns) and docs.count() > 0
+        right = F.col("map")["k"] == F.col("doc_id")
+        for name in taken:
+            right &= F.col(f"`{name}`") == F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string"))
+        assert docs.where(~right).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_small).count() == docs.count()
+
+
+def test_cuts_widen_to_whole_characters_and_spare_replacement_marks(spark):
+    """Only what the spans touch goes, also where the text held U+FFFD before."""
+    shared = "é" * 250
+    texts = ["\ufffd a" + shared + "ü one \ufffd", "b" + shared + "ö two", "word " * 3]
+    docs = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    assert got == {0: ("\ufffd a one \ufffd", 9), 1: ("b two", 5), 2: (texts[2], 15)}
+    assert without_spans("aéz".encode(), [(2, 3)]) == b"az"
+    assert without_spans("aéözb".encode(), [(0, 2), (4, 5)]) == "zb".encode()

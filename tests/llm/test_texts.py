@@ -16,7 +16,18 @@ from codays.llm.byte_bpe import merge_long, read_ranks, round_trip
 from codays.llm.forest import jaccard_join, keep_one_each, prefix_length
 from codays.llm.lm import score_texts, words_of
 from codays.llm.mixing import MOST_REPEATS, mixture, mixture_sql
-from codays.llm.toxicity import evidence, fit_logistic, maximal_segments, toxicity, train
+from codays.llm.common import remainder
+from codays.llm.toxicity import (
+    _labelled,
+    count_classes,
+    evidence,
+    fit_logistic,
+    keys_of,
+    learn_names,
+    maximal_segments,
+    toxicity,
+    train,
+)
 from codays.llm.toxicity import words_of as toxicity_words
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -97,14 +108,63 @@ def test_no_two_words_share_a_count(spark):
     ]
     labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in texts], "doc_id long, toxic int")
     model = train(frame(spark, texts), labels)
-    scores = model.word_scores(["vilest", other, "été", "word7"])
-    assert scores[0] > 2 and (scores[1:] < 0).all()
-    kept = [(i, t) for i, t in texts if zlib.crc32(str(i).encode()) % 5]
-    for word in ("vilest", other, "été", "word7"):
-        place = model.cells_of([word])[0, -1]
-        toxic = sum(word in t.split() for i, t in kept if i % 6 == 0)
-        assert model.toxic[place] == toxic
-        assert model.clean[place] == sum(word in t.split() for i, t in kept) - toxic
+    scores = [model.word_score(word) for word in ("vilest", other, "été", "word7")]
+    assert scores[0] > 2 and max(scores[1:]) < 0
+
+
+def defined_score(word, toxic, clean, scale):
+    """A word's score straight from the counts of its stems and of itself."""
+    share = 0.5
+    for name in keys_of(word):
+        t, c = toxic[name] + 4 * share, clean[name] * scale + 4 * (1 - share)
+        odds, share = np.log(t / c), min(max(t / (t + c), 1e-6), 1 - 1e-6)
+    own = f"0{word}"
+    spread = np.sqrt(1 / (toxic[own] + 2) + 1 / (clean[own] + 2))
+    return (odds if odds > 2 and odds > 3 * spread else 0.0) - 0.1
+
+
+def test_words_score_as_their_counts_say(spark):
+    """Counted and uncounted words, below telling stems and elsewhere, whatever is broadcast."""
+    random.seed(21)
+    letters = "abcdéf"
+    words = sorted({"".join(random.choices(letters, k=random.randint(1, 9))) for _ in range(1500)})
+    bad = [w for w in words if w[:3] in ("abc", "dea", "faf")] + random.sample(words, 40) + ["abcd" + x for x in letters]
+    texts = []
+    for i in range(500):
+        text = random.choices(words, k=60)
+        texts.append((i, " ".join(text + (random.choices(bad, k=25) if i % 3 == 0 else []))))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    model = train(frame(spark, texts), labels)
+    counts = collections.Counter(), collections.Counter()
+    for i, text in texts:
+        if zlib.crc32(str(i).encode()) % 5:
+            counts[i % 3 == 0].update({name for word in set(toxicity_words(text)) for name in keys_of(word)})
+    clean, toxic = counts
+    whole = [sum(n for name, n in c.items() if name[0] == "0") for c in (toxic, clean)]
+    scale = (whole[0] + 1) / (whole[1] + 1)
+    asked = words + [w[:k] + x for w in bad for k in (2, 4, 6, 8) for x in ("q", "é", "")] + ["", "zzzzzzzzz"]
+    expected = [defined_score(w, toxic, clean, scale) for w in asked]
+    assert [model.word_score(w) for w in asked] == pytest.approx(expected)
+    uncounted = [e for w, e in zip(asked, expected) if f"0{w}" not in toxic | clean]
+    assert max(expected) > 2 and max(uncounted) > 2 and min(uncounted) < 0
+    assert len(model.telling) + len(model.plain) < len(toxic | clean) / 2
+
+
+def test_scores_follow_from_words_law_and_calibration(spark):
+    """The score of a text, from the words' scores by definition of segments and law."""
+    random.seed(22)
+    common = [f"word{k}" for k in range(200)]
+    texts = [(i, " ".join([*random.choices(common, k=50), *(["vilest", "vilely"] if i % 5 == 0 else [])])) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    docs = frame(spark, texts)
+    model = train(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity(docs, labels).collect()}
+    for i, text in texts[:60]:
+        words = toxicity_words(text)
+        parts = smallest_parts([model.word_score(w) for w in words])
+        told = [e for e in (model.decay * s - model.log_rate - np.log(len(words)) for _, _, s in parts) if e > 0]
+        features = [1.0, np.log1p(max(told, default=0.0)), np.log1p(sum(told))]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-np.dot(model.weights, features))), abs=1e-9)
 
 
 def test_toxicity_is_calibrated_on_all_passages(spark):
@@ -118,11 +178,18 @@ def test_toxicity_is_calibrated_on_all_passages(spark):
             words += [*["vilest"] * 4, *random.choices(common, k=600)]
         texts.append((i, " ".join(words)))
     given = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in texts], "doc_id long, toxic int")
-    model = train(frame(spark, texts), given)
-    kept = [(i % 6 == 0, toxicity_words(t)) for i, t in texts if zlib.crc32(str(i).encode()) % 5]
-    passages = [model.passages(model.scores_without(words, toxic)) for toxic, words in kept]
+    docs, training = frame(spark, texts), remainder(5) != 0
+    model = train(docs, given)
+    labelled = _labelled(docs, given, 1000, training)
+    partial = learn_names(count_classes(labelled))
+    passages, marks = [], []
+    for r in labelled.collect():
+        without = partial[r.fold]
+        without.decay, without.log_rate = model.decay, model.log_rate
+        passages.append(without.passages(without.token_scores(toxicity_words(r.text))))
+        marks.append(float(r.toxic))
     assert max(map(len, passages)) > 64
-    expected = fit_logistic(np.array([evidence(p) for p in passages]), np.array([float(t) for t, _ in kept]))
+    expected = fit_logistic(np.array([evidence(p) for p in passages]), np.array(marks))
     assert model.weights == pytest.approx(tuple(expected), rel=1e-3)
 
 
