@@ -7,6 +7,7 @@ the given tables. All of them read the ``events`` table in full.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,9 +60,9 @@ from codays.sources.seismic import seismic_table
 try:  # the operators of training-data pipelines are an optional part
     import corpus_pipeline
     from codays.llm.queries import LLM_QUERIES, LLM_SQL
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("corpus_pipeline", "codays.llm", "codays.llm.queries"):
-        raise
+        warnings.warn(f"queries over texts and vectors are left out: {missing}", stacklevel=2)
     LLM_QUERIES, LLM_SQL, PIPELINE_QUERIES, PIPELINE_SQL = {}, {}, {}, {}
 else:
     PIPELINE_QUERIES = {"pipeline": corpus_pipeline.run}

@@ -10,55 +10,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codays.llm.byte_bpe import decode_documents, encode_documents
-from codays.llm.common import WORD_PATTERN, table
+from codays.llm.common import WORD_PATTERN, table, text_of, whole_row
 from codays.llm.forest import keep_one_each, text_key
 from codays.llm.mixing import draw, mix, text_size
-from codays.llm.suffix_dedup import repeated_spans
+from codays.llm.suffix_dedup import repeated_spans, text_without
 from codays.llm.toxicity import score_texts, train
 from codays.session import staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, trained on their labels, does not reject."""
+    """Documents that the toxicity model, trained on their labels, does not reject.
+
+    Null and empty texts stay, repeated rows are judged alike, and an empty table
+    stays empty. All columns pass through, whatever their names.
+    """
     model = train(docs, table(spark, sf_dir, "labels"))
-    scored = score_texts(docs, model, "_toxicity", "_passages")
-    return scored.where(F.col("_toxicity") < 0.5).drop("_toxicity", "_passages")
+    scored = score_texts(docs.select(whole_row(docs)), model, "toxicity", "passages", "row.text")
+    return scored.where("toxicity < 0.5").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates.
+
+    Null and empty texts are copies of each other, so one of them stays, and so
+    does one of rows that repeat each other; an empty table stays empty. All columns
+    pass through, whatever their names and types.
+    """
     return keep_one_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the long strings that occur more than once.
 
-    What is left of a text must be valid text: characters of which a part is cut
-    go. A document of which no word is left goes as well, and n_chars follows the
-    text where the column is there.
+    What is left of a text must be valid text, so spans are widened to whole
+    characters. A document of which no word is left goes as well, and n_chars
+    follows the text where the column is there. Null and empty texts stay as they
+    are, repeated rows are cut alike, and an empty table stays empty. Other columns
+    pass through, whatever their names.
     """
     _, cuts = repeated_spans(docs)
-    left = cuts.select(
-        F.col("key").alias("_key"),
-        F.try_validate_utf8(F.col("kept").cast("string")).alias("_valid"),
-        F.make_valid_utf8(F.col("kept").cast("string")).alias("_mended"),
-    )
-    mended = F.coalesce("_valid", F.regexp_replace("_mended", "�", ""))
-    joined = docs.withColumn("_key", text_key()).join(left, "_key", "left")
-    changed = F.col("_mended").isNotNull()
-    text = F.when(changed, mended).otherwise(F.col("text"))
-    kept = joined.withColumn("_left", text).where(~changed | F.col("_left").rlike(WORD_PATTERN))
-    columns = []
-    for name in docs.columns:
-        if name == "text":
-            columns.append(F.col("_left").alias("text"))
-        elif name == "n_chars":
-            columns.append(
-                F.when(changed, F.length("_left")).otherwise(F.col(name)).cast(docs.schema[name].dataType).alias(name)
-            )
-        else:
-            columns.append(F.col(f"`{name}`"))
-    return kept.select(*columns)
+    joined = docs.select(whole_row(docs), text_key().alias("key")).join(cuts.select("key", "removed"), "key", "left")
+    left = joined.select("row", text_without(text_of("row.text"), "removed").alias("left"))
+    changed = F.col("left").isNotNull()
+    kept = left.where(~changed | F.col("left").rlike(WORD_PATTERN))
+    new = {"text": F.coalesce("left", "row.text")}
+    if "n_chars" in docs.columns:
+        length = F.when(changed, F.length("left")).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[new.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,31 +65,33 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The words taken of a document make a number of copies with a fraction; a
     seeded draw rounds it up or down in proportion, so that sources keep their
-    shares. Documents without words are taken once, as nothing was decided on them.
+    shares. Documents without words, null and empty texts among them, are taken
+    once, as nothing was decided on them. Null ids and sources are ordinary values;
+    rows that repeat id, source and size are taken equally often; an empty table
+    stays empty. All columns pass through, whatever their names.
     """
     taken = mix(docs.select("doc_id", "text", "source")).groupBy("doc_id", "source", "size").agg(
-        F.max("taken").alias("_taken")
+        F.max("taken").alias("taken")
     )
     part = draw(F.col("doc_id"), F.lit("copies")) % 1_000_000 / 1_000_000
-    taken = taken.select(
-        F.col("doc_id").alias("_id"),
-        F.col("source").alias("_source"),
-        F.when(F.col("size") > 0, F.floor(F.col("_taken") / F.col("size") + part)).otherwise(1).alias("_times"),
-        F.col("size").alias("_size"),
-    )
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    met = docs.withColumn("_words", text_size()).join(
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + part)).otherwise(1)
+    taken = taken.select("doc_id", "source", "size", times.cast("int").alias("times")).where("times > 0")
+    met = docs.select(whole_row(docs), text_size().alias("words")).join(
         taken,
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size")),
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+        & F.col("row.source").eqNullSafe(F.col("source"))
+        & (F.col("words") == F.col("size")),
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
-    return met.where("_times > 0").select(*columns, copies.alias("_copy")).drop("_copy")
+    copies = met.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    return copies.select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number and digest of the ids, and digest of the decoded bytes."""
+    """doc_id, number and digest of the ids, and digest of the decoded bytes: a row per row of ``docs``.
+
+    Null and empty texts have no ids; null ids and repeated rows are rows like
+    others; an empty table gives none. Only doc_id and text are read.
+    """
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     decoded = decode_documents(encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
     return decoded.select(
