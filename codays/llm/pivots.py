@@ -9,9 +9,12 @@ has to be made distinct afterwards.
 
 Pivots are a bounded sample, the distinct vectors with the smallest seeded
 hashes, and grow in number with the square root of the rows up to a stated
-bound, which keeps lists short. Of drawn vectors that are close together only the
-first becomes a pivot: many pivots inside one dense group would be ordered by each
-member's own noise, and its members would name unrelated ones. Lists are cut into
+bound, which keeps lists short. Vectors and pivots are compared as seen from the
+mean of the drawn ones, so a direction that all vectors share tells nothing. Of
+drawn vectors that are close together only the first becomes a pivot: many pivots
+inside one dense group would be ordered by each member's own noise, and its members
+would name unrelated ones. How many pivots are named follows from the recall of
+made pairs that just link. Lists are cut into
 blocks and each pair of blocks is a group of its own, so a list may hold any share
 of all vectors.
 Pairs are never written: a group returns how many links each vector has in it
@@ -19,6 +22,8 @@ and, for each vector, one edge to the smallest vector it hangs together with.
 Equal vectors are one entry with a number of copies.
 """
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,9 +33,12 @@ from codays.llm.components import components, smallest_linked
 from codays.session import shuffle_width, staged
 
 LEAST_COSINE = 0.9
-NAMED_PIVOTS = 12
+#: Named at least, and at most; more than the least where pairs that just link need it.
+NAMED_PIVOTS, MOST_NAMED = 12, 48
 SHARED_PIVOTS = 2
-LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
+TARGET_RECALL = 0.998
+#: Rows that come to the driver and go to the tasks, 16 MB for 64 dimensions.
+LEAST_PIVOTS, MOST_PIVOTS = 64, 32_768
 ROWS_PER_BLOCK = 1024
 SEED = 11
 
@@ -71,35 +79,85 @@ def unit_rows(vectors: list | pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+class Pivots(NamedTuple):
+    """Unit rows about ``centre``, the mean of the drawn rows, and how many of them a vector names."""
+
+    centre: np.ndarray
+    rows: np.ndarray
+    named: int
+
+
+def about(rows: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Unit rows as seen from the centre; a row on the centre stays a zero."""
+    apart = rows - centre
+    lengths = np.linalg.norm(apart, axis=1, keepdims=True)
+    return apart / np.where(lengths > 1e-12, lengths, 1)
+
+
 def thinned(rows: np.ndarray, least: float) -> np.ndarray:
-    """Unit rows, in order, without those too close to one that is kept.
+    """Places of unit rows, in order, without those too close to one that is kept.
+
+    Rows closer than twice the linking angle go, so that all that links with one
+    vector has a pivot or two among it, however many were drawn there. Where this
+    leaves less than half of the rows, as they are all close together, only rows
+    closer than that go, by the widest of a few angles that leaves half.
+    """
+    widest = np.cos(min(2 * np.arccos(np.clip(least, -1, 1)), np.pi / 2))
+    for closest in (widest, *(1 - (1 - widest) * 0.5**k for k in range(1, 6)), 1.0):
+        free, kept = np.ones(len(rows), bool), []
+        for k in range(len(rows)):
+            if free[k]:
+                kept.append(k)
+                free &= rows @ rows[k] < closest
+        if 2 * len(kept) >= len(rows):
+            break
+    return np.array(kept, np.int64)
+
+
+def named_pivots(rows: np.ndarray, pivots: Pivots) -> np.ndarray:
+    """Numbers of the nearest pivots of each unit row, nearest first."""
+    near = about(rows, pivots.centre) @ pivots.rows.T
+    return np.argsort(-near, axis=1, kind="stable")[:, : pivots.named].astype(np.int32)
+
 
-    Kept rows are more than twice the linking angle apart, so all that links with
-    one vector has a pivot or two among it, however many were drawn there.
+def enough_named(rows: np.ndarray, centre: np.ndarray, pivots: np.ndarray, least: float, named: int, shared: int) -> int:
+    """How many pivots a vector must name for pairs that just link to share ``shared`` of them.
+
+    Partners are made for drawn rows, at the least cosine, in the directions in
+    which other drawn rows differ from each other.
     """
-    closest = np.cos(min(2 * np.arccos(np.clip(least, -1, 1)), np.pi / 2))
-    free = np.ones(len(rows), bool)
-    kept = []
-    for k in range(len(rows)):
-        if free[k]:
-            kept.append(k)
-            free &= rows @ rows[k] < closest
-    return rows[kept]
+    draws = np.random.default_rng(SEED)
+    ones = rows[draws.integers(0, len(rows), 1024)]
+    ways = rows[draws.integers(0, len(rows), 1024)] - rows[draws.integers(0, len(rows), 1024)]
+    ways -= (ways * ones).sum(1, keepdims=True) * ones
+    lengths = np.linalg.norm(ways, axis=1)
+    usable = lengths > 1e-9
+    ones, ways = ones[usable], ways[usable] / lengths[usable, None]
+    twos = least * ones + np.sqrt(1 - least**2) * ways
+    while named < len(pivots) and len(ones):
+        first, second = (named_pivots(side, Pivots(centre, pivots, named)) for side in (ones, twos))
+        common = (first[:, :, None] == second[:, None, :]).sum((1, 2))
+        if (common >= shared).mean() >= TARGET_RECALL:
+            break
+        named += 4
+    return min(named, MOST_NAMED)
 
 
-def choose_pivots(vectors: DataFrame, rows: int, least: float) -> dict[int, np.ndarray]:
+def choose_pivots(vectors: DataFrame, rows: int, least: float, named: int, shared: int) -> dict[int, Pivots]:
     """Pivots for each length of vector: at most ``MOST_PIVOTS`` rows reach the driver."""
     wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(rows**0.5)))
     drawn = vectors.orderBy(F.xxhash64("key", F.lit(SEED)), "key").limit(wanted).select("v").collect()
     by_length: dict[int, list] = {}
     for row in drawn:
         by_length.setdefault(len(row.v), []).append(row.v)
-    return {length: thinned(unit_rows(v), least) for length, v in by_length.items()}
-
-
-def named_pivots(rows: np.ndarray, pivots: np.ndarray, named: int = NAMED_PIVOTS) -> np.ndarray:
-    """Numbers of the nearest pivots of each row, nearest first."""
-    return np.argsort(-(rows @ pivots.T), axis=1, kind="stable")[:, :named].astype(np.int32)
+    out = {}
+    for length, v in by_length.items():
+        own = unit_rows(v)
+        centre = own.mean(axis=0)
+        pivots = about(own, centre)
+        pivots = pivots[thinned(pivots, least)]
+        out[length] = Pivots(centre, pivots, enough_named(own, centre, pivots, least, named, shared))
+    return out
 
 
 def block_links(
@@ -160,7 +218,8 @@ def near_duplicates(
     """
     vectors = staged(distinct_vectors(embeddings), "vectors")
     rows = vectors.count()
-    pivots = choose_pivots(vectors, rows, least)
+    pivots = choose_pivots(vectors, rows, least, named, shared)
+    named = max([named, *(p.named for p in pivots.values())])
 
     def describe(frames):
         for frame in frames:
@@ -169,7 +228,7 @@ def near_duplicates(
             said = pd.Series([np.zeros(1, np.int32)] * len(frame), index=frame.index)
             for length, own in frame.groupby(lengths):
                 if length in pivots:
-                    near = named_pivots(unit_rows(own["v"]), pivots[length], named)
+                    near = named_pivots(unit_rows(own["v"]), pivots[length])
                     said.loc[own.index] = pd.Series(list(near), index=own.index)
             yield frame[["node", "v", "copies"]].assign(length=lengths.astype("int32"), named=said)
 

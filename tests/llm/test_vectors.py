@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from codays.llm import pivots
 from codays.llm.components import components
@@ -78,6 +79,36 @@ def test_links_in_a_dense_group_with_hundreds_of_pivots(spark, monkeypatch):
     assert sum(got.values()) >= 0.999 * linked.sum()
 
 
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.7])
+def test_a_common_direction_leaves_lists_short(common):
+    """Pivots stay many, lists short, and pairs that link are found, whatever all vectors share."""
+    rng = np.random.default_rng(9)
+    width, n = 64, 20_000
+    direction = np.eye(width)[0]
+
+    def drawn(k):
+        own = rng.normal(size=(k, width))
+        own[:, 0] = 0
+        own /= np.linalg.norm(own, axis=1, keepdims=True)
+        return common**0.5 * direction + (1 - common) ** 0.5 * own
+
+    rows = drawn(n)
+    own = rows[:141]
+    centre = own.mean(axis=0)
+    seen = pivots.about(own, centre)
+    chosen = seen[pivots.thinned(seen, 0.9)]
+    assert len(chosen) >= 70
+    index = pivots.Pivots(centre, chosen, pivots.enough_named(own, centre, chosen, 0.9, 12, 2))
+    named = pivots.named_pivots(rows, index)
+    assert np.bincount(named.ravel()).max() < 0.2 * n
+    partners = rows[:3000] + rng.uniform(0.2, 1.0, (3000, 1)) * (drawn(3000) - drawn(3000)) * 0.35
+    partners /= np.linalg.norm(partners, axis=1, keepdims=True)
+    linked = (partners * rows[:3000]).sum(1) >= 0.9
+    other = pivots.named_pivots(partners, index)
+    shared = (named[:3000, :, None] == other[:, None, :]).sum((1, 2)) >= 2
+    assert linked.sum() > 500 and shared[linked].mean() >= 0.99
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(1)
     vectors = [*rng.normal(0, 0.1, (400, 16)), *[np.full(16, 0.25)] * 40]
