@@ -356,20 +356,72 @@ def test_spellings_sum_to_one():
         assert (10**shares).sum() == pytest.approx(1)
 
 
-def test_attention_learns_from_every_window(spark):
+def test_attention_learns_from_every_window_in_any_layout(spark):
+    """The steps by hand, one round after the other, are those of any number of partitions."""
+
     class Given:
         frequencies = np.full(attention.CLASSES, 1 / attention.CLASSES)
+        tokens = 30_000
 
     rng = np.random.default_rng(4)
-    texts = [rng.integers(0, 120, n).astype(np.uint8).tobytes() for n in (3_000, 20, 700, 5)]
-    encoded = spark.createDataFrame([(t, False) for t in texts], "classes binary, held_out boolean").coalesce(1)
-    got = lm.train_attention(encoded, Given)
-    inputs, targets, lengths = lm._sequences(texts)
-    starts, held, _ = attention.windows(lengths)
-    weights = attention.train(attention.initial(Given.frequencies), inputs, targets, starts, held)
-    expected = attention.Scorer.of(attention.shaped(attention.flat(weights)), Given.frequencies)
-    assert np.allclose(got.output, expected.output, atol=1e-4)
-    assert np.allclose(got.embedding, expected.embedding, atol=1e-4)
+    texts = [rng.integers(0, 120, n).astype(np.uint8).tobytes() for n in (3_000, 20, 700, 5, 0, 64, 128, 900, 900)]
+    rows = [(i, t, False) for i, t in enumerate(texts)] + [(99, texts[0], True), (None, texts[1], False)]
+    encoded = spark.createDataFrame(rows, "doc_id long, classes binary, held_out boolean")
+    training, _ = lm.training_rounds(encoded, Given.tokens, 4)
+    values = attention.flat(attention.initial(Given.frequencies))
+    steps, seen = attention.Adam(values, 4), 0
+    for number in range(4):
+        own = [bytes(r.classes) for r in training.where(f"round = {number}").collect()]
+        slope, n = attention.summed_gradient(steps.values, *lm._sequences(own)) if own else (None, 0)
+        seen += n
+        if n:
+            steps.follow(slope / n)
+    assert seen == sum(len(t) + 1 for t in [*texts, texts[1]])
+    expected = attention.shaped(steps.values)
+    for partitions in (1, 7):
+        got = lm.train_attention(encoded.repartition(partitions), Given, 4)
+        assert np.allclose(got.output, expected["output"], atol=1e-4)
+        assert np.allclose(got.embedding, expected["embedding"], atol=1e-4)
+    assert not np.allclose(expected["output"], attention.initial(Given.frequencies)["output"], atol=1e-2)
+
+
+def test_scores_do_not_follow_the_layout(spark):
+    """The same scores with 1, 8 and 40 buckets, each better than the base on held-out documents."""
+    random.seed(17)
+    phrases = ["the cat sat on the mat", "a dog ran after the cat", "rain fell on the old town", "we sat by the sea"]
+    texts = [(i, " ".join(random.choices(phrases, k=random.randint(1, 25)))) for i in range(400)]
+    size = sum(len(t) for _, t in texts)
+    docs, scores = frame(spark, texts), []
+    for buckets in (1, 8, 40):
+        rows = score_texts(docs, RANKS, PATTERN, bytes_per_bucket=-(-size // buckets)).collect()
+        scores.append({r.doc_id: r.score for r in rows})
+        held = [r for r in rows if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert scores[1] == pytest.approx(scores[0], rel=1e-3)
+    assert scores[2] == pytest.approx(scores[0], rel=1e-3)
+
+
+def test_a_score_follows_from_counts_and_weights():
+    """Class by class over overlapping windows, from the weights themselves."""
+    rng = np.random.default_rng(2)
+    frequencies = rng.dirichlet(np.ones(attention.CLASSES))
+    w = attention.initial(frequencies)
+    w["lag"] = rng.normal(size=attention.WINDOW) * 0.3
+    classes = rng.integers(0, 126, 150).astype(np.uint8).tobytes()
+    inputs, targets, lengths = lm._sequences([classes])
+    total = 0.0
+    for place in range(len(inputs)):
+        first = 0 if place < 64 else (place - 16) // 48 * 48
+        seen = inputs[first : place + 1]
+        e = w["embedding"][seen]
+        lags = w["lag"][place - first - np.arange(len(seen))]
+        logits = (e[-1] @ w["query"]) @ (e @ w["key"]).T / 4 + lags
+        share = np.exp(logits - logits.max())
+        h = share / share.sum() @ (e @ w["value"]) + e[-1]
+        guess = np.exp(h @ w["output"] + w["bias"])
+        p = 0.95 * guess[targets[place]] / guess.sum() + 0.05 * frequencies[targets[place]]
+        total += np.log10(p)
+    assert attention.Scorer.of(w, frequencies).log10(inputs, targets, lengths)[0] == pytest.approx(total, rel=1e-4)
 
 
 def test_attention_gradient_and_windows():
