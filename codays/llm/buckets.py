@@ -3,7 +3,8 @@
 The words of a corpus are too many to broadcast and too many to look up token
 by token in a join. So documents are dealt into buckets of about
 ``bytes_per_bucket``; a bucket asks for its distinct words once, and what is
-known of them comes back to it in a cogroup.
+known of them comes back to it in a cogroup. A bucket is a partition by its number,
+so no task gets two of them.
 """
 
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ def dealt(docs: DataFrame, *more: Column, bytes_per_bucket: int = BYTES_PER_BUCK
     buckets = max(1, -(-total // bytes_per_bucket))
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
-    return rows.withColumn("bucket", bucket).repartition(buckets, "bucket"), buckets
+    return rows.withColumn("bucket", bucket).repartitionById(buckets, "bucket"), buckets
 
 
 def packed(docs: DataFrame, bytes_per_bucket: int = BYTES_PER_BUCKET) -> tuple[DataFrame, int, str]:
@@ -62,7 +63,7 @@ def packed(docs: DataFrame, bytes_per_bucket: int = BYTES_PER_BUCKET) -> tuple[D
             )
 
     blocks = rows.select(bucket.alias("bucket"), "doc_id", "text").mapInArrow(pack, "bucket int, block binary")
-    return blocks.repartition(buckets, "bucket"), buckets, rows.schema["doc_id"].dataType.simpleString()
+    return blocks.repartitionById(buckets, "bucket"), buckets, rows.schema["doc_id"].dataType.simpleString()
 
 
 def unpacked(blocks: pa.Array) -> Iterator[pa.Table]:

@@ -213,7 +213,7 @@ def encode_documents(
 
     return (
         blocks.groupBy("bucket")
-        .cogroup(known.repartition(buckets, "bucket").groupBy("bucket"))
+        .cogroup(known.repartitionById(buckets, "bucket").groupBy("bucket"))
         .applyInArrow(put_together, f"doc_id {doc_id}, ids binary")
     )
 
