@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 
 WORDS_PER_SHINGLE = 5
-MOST_REMEMBERED = 500_000
+MOST_REMEMBERED = 150_000
 _known: dict[str, int] = {}
 
 
