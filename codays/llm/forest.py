@@ -1,17 +1,28 @@
-"""N-gram Jaccard join through banded MinHash signatures.
+"""N-gram Jaccard join by a MinHash LSH forest.
 
-Every text has MinHash values per tree, or band. Two texts of similarity s share
-all d values of one of L trees with probability ``1 - (1 - s^d)^L``. The depth d is
-fixed: the longest that reaches the target recall at the least similarity. Texts
-at the same node of that depth are candidates. An LSH forest would come down to
-this depth from longer prefixes; all pairs are wanted here, so that is left out.
+A text has a signature of ``LONGEST_PREFIX`` MinHash labels in each of ``TREES``
+trees. The signatures of a tree are a trie: texts with the same d labels in
+front lie below the same node of depth d. Two texts of similarity s meet at depth
+d or deeper in some of L trees with probability ``1 - (1 - s^d)^L``.
+
+Texts are compared at the longest prefix first, and prefixes are shortened by one
+label at a time; a node whose texts all came from one longer prefix brings
+nothing new. Each link found stands for ``1 / p`` links, p being its own
+probability to be found so far, and the descent ends when the links found are the
+wanted share of these. It goes no deeper than the prefix at which even pairs
+of the least similarity reach the target recall. Texts alone at every node of
+that prefix are left out at once.
 
 Texts below a node are hung on the smallest of them, so a node with any number
-of texts gives as many edges as texts. What hangs together is verified
-exactly: the texts of a candidate component meet block by block, pairs that
-share a node are compared by their shingle sets, and each block pair returns
-links counted per text and edges to the smallest text it is linked with. Pairs
-are never written. Equal texts are one entry with a number of copies.
+of texts gives as many edges as texts. What hangs together is verified exactly:
+the texts of a component meet block by block, pairs whose longest common
+prefix has the length at hand are compared by their shingle sets, and each block
+pair returns links counted per text and edges to the smallest text it is linked
+with. Pairs are never written. Equal texts are one entry with a number of copies.
+
+Many texts may hang together through chance alone, each sharing nodes with few
+others. Where that moves fewer texts, those of a component meet node by node
+instead, and a pair is compared in the first tree in which it shares one.
 """
 
 from collections.abc import Iterator
@@ -29,11 +40,19 @@ from codays.session import shuffle_width, staged
 
 LEAST_SIMILARITY = 0.8
 TREES, LONGEST_PREFIX = 20, 8
-TARGET_RECALL = 0.999
+#: Recall of pairs of the least similarity that the shortest prefix must have,
+#: and share of all links, as estimated from those found, that ends the descent before.
+TARGET_RECALL, ENOUGH_LINKS = 0.999, 0.9999
+BYTES_PER_LABEL = 2
 TEXTS_PER_BLOCK = 256
 SEED = 8
 
 
+def chance_to_meet(similarity: float | np.ndarray, depth: int | np.ndarray, trees: int = TREES):
+    """Probability that two texts share a prefix of this length in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
 def prefix_length(
     similarity: float = LEAST_SIMILARITY,
     trees: int = TREES,
@@ -42,17 +61,19 @@ def prefix_length(
 ) -> int:
     """The longest prefix that finds the target share of pairs of this similarity."""
     length = longest
-    while length > 1 and 1 - (1 - similarity**length) ** trees < recall:
+    while length > 1 and chance_to_meet(similarity, length, trees) < recall:
         length -= 1
     return length
 
 
-def tree_nodes(texts: list[str], length: int, trees: int = TREES) -> tuple[np.ndarray, np.ndarray]:
-    """One node number per text and tree, and how many shingles each text has."""
+def tree_labels(
+    texts: list[str], trees: int = TREES, longest: int = LONGEST_PREFIX
+) -> tuple[np.ndarray, np.ndarray]:
+    """Labels by text, tree and depth, and how many shingles each text has."""
     draws = np.random.default_rng(SEED)
-    factors = draws.integers(0, 1 << 63, (trees, length), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = draws.integers(0, 1 << 63, (trees, length), dtype=np.uint64)
-    nodes = np.zeros((len(texts), trees), np.uint64)
+    factors = draws.integers(0, 1 << 31, (trees, longest), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    shifts = draws.integers(0, 1 << 32, (trees, longest), dtype=np.uint32)
+    labels = np.zeros((len(texts), trees, longest), np.uint16)
     sizes = np.zeros(len(texts), np.int64)
     for part in in_parts(texts):
         numbers, counts = shingles([texts[k] for k in part])
@@ -61,15 +82,15 @@ def tree_nodes(texts: list[str], length: int, trees: int = TREES) -> tuple[np.nd
         if not len(told):
             continue
         starts = (np.cumsum(counts) - counts)[counts > 0]
+        numbers = (numbers >> np.uint64(32)).astype(np.uint32)
         scratch = np.empty_like(numbers)
-        for tree in range(trees):
-            node = np.full(len(told), tree + 1, np.uint64)
-            for factor, shift in zip(factors[tree], shifts[tree]):
-                np.multiply(numbers, factor, out=scratch)
-                np.bitwise_xor(scratch, shift, out=scratch)
-                node = mixed(node + np.minimum.reduceat(scratch, starts))
-            nodes[told, tree] = node
-    return nodes, sizes
+        for place in np.ndindex(trees, longest):
+            np.multiply(numbers, factors[place], out=scratch)
+            np.bitwise_xor(scratch, shifts[place], out=scratch)
+            # Smallest values are alike in their upper bits, so they are spread again.
+            least = mixed(np.minimum.reduceat(scratch, starts).astype(np.uint64))
+            labels[(told, *place)] = (least >> np.uint64(40)).astype(np.uint16)
+    return labels, sizes
 
 
 def text_key(column: str = "text") -> Column:
@@ -77,27 +98,36 @@ def text_key(column: str = "text") -> Column:
     return F.unhex(F.md5(F.encode(text_of(column), "utf-8")))
 
 
-def with_nodes(docs: DataFrame, length: int, trees: int = TREES) -> DataFrame:
-    """doc_id, key, nodes of every row; nodes are empty where the text has no words."""
+def with_labels(docs: DataFrame) -> DataFrame:
+    """doc_id, key, labels of every row; labels are null where the text has no words."""
     rows = ids_and_texts(docs).select("doc_id", text_key().alias("key"), "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes = tree_nodes(batch.column(2).to_pylist(), length, trees)
-            listed = [n if size else [] for n, size in zip(nodes.view(np.int64), sizes)]
+            labels, sizes = tree_labels(batch.column(2).to_pylist())
+            listed = [one.tobytes() if size else None for one, size in zip(labels, sizes)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(listed, pa.list_(pa.int64()))],
-                ["doc_id", "key", "nodes"],
+                [batch.column(0), batch.column(1), pa.array(listed, pa.binary())], ["doc_id", "key", "labels"]
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(describe, f"doc_id {kind}, key binary, nodes array<bigint>")
+    return rows.mapInArrow(describe, f"doc_id {kind}, key binary, labels binary")
+
+
+def _label(tree: int, depth: int, length: int) -> Column:
+    """``length`` labels of a tree from a depth on."""
+    return F.substring("labels", (tree * LONGEST_PREFIX + depth) * BYTES_PER_LABEL + 1, length * BYTES_PER_LABEL)
+
+
+def node_name(tree: int, depth: int) -> Column:
+    """The node of a tree above a text: a byte for the tree and the prefix, never sixteen bytes."""
+    return F.concat(F.lit(bytes([tree])), _label(tree, 0, depth))
 
 
 def jaccard_links(
     sets: list[np.ndarray], one: np.ndarray, two: np.ndarray, least: float
-) -> np.ndarray:
-    """Which of the pairs (one, two) of sorted distinct shingle sets are similar enough."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (one, two) of sorted distinct shingle sets are similar enough, and how similar."""
     sizes = np.array([len(s) for s in sets])
     # A pair whose sizes differ too much cannot reach the least similarity.
     small, large = np.minimum(sizes[one], sizes[two]), np.maximum(sizes[one], sizes[two])
@@ -120,92 +150,185 @@ def jaccard_links(
             holds[owner[here], column[here] - start] = 1
             together += holds @ holds.T
         shared[possible] = together[one[possible], two[possible]]
-    return (shared > 0) & (shared >= least * (sizes[one] + sizes[two] - shared) - 1e-9)
+    union = sizes[one] + sizes[two] - shared
+    return (shared > 0) & (shared >= least * union - 1e-9), shared / np.maximum(union, 1)
+
+
+def pairs_to_compare(
+    labels: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int, tree: int | None = None
+) -> np.ndarray:
+    """Which pairs of rows ``a`` by rows ``b`` have a longest common prefix of ``depth`` labels.
+
+    At the greatest depth all pairs that share the prefix are told. With a tree
+    given, only pairs that share no prefix of this length in an earlier tree.
+    """
+    meet, deeper, earlier = (np.zeros((len(a), len(b)), bool) for _ in range(3))
+    for number in range(labels.shape[1]):
+        if number == tree:
+            earlier = meet.copy()
+        # Places in the sorted list of prefixes stand for these.
+        _, node = np.unique(labels[:, number, :depth], axis=0, return_inverse=True)
+        node = node.ravel()
+        meet |= node[a][:, None] == node[b][None, :]
+        if depth < labels.shape[2]:
+            _, child = np.unique(
+                np.column_stack([node, labels[:, number, depth]]), axis=0, return_inverse=True
+            )
+            child = child.ravel()
+            deeper |= child[a][:, None] == child[b][None, :]
+    return meet & ~deeper & ~earlier
+
 
+def block_links(
+    group: pd.DataFrame, same: bool, least: float, depth: int, tree: int | None = None
+) -> pd.DataFrame:
+    """Linked texts of a pair of blocks that meet at this depth, of this tree if one is given.
 
-def block_links(group: pd.DataFrame, same: bool, least: float) -> pd.DataFrame:
-    """key, links, root of the linked texts of a pair of blocks."""
+    key, links and root as for ``near_texts``; pairs, the links of a text to
+    greater ones, and expected, the links these stand for at every depth.
+    """
     group = group.sort_values("key", ignore_index=True)
-    nodes = np.array(group["nodes"].tolist(), np.int64).reshape(len(group), -1)
+    labels = np.frombuffer(b"".join(group["labels"]), np.uint16).reshape(len(group), TREES, LONGEST_PREFIX)
     first = group["first"].to_numpy(dtype=bool)
     places = np.arange(len(group))
     a, b = (places, places) if same else (places[first], places[~first])
-    meet = np.zeros((len(a), len(b)), bool)
-    for tree in range(nodes.shape[1]):
-        meet |= nodes[a, tree][:, None] == nodes[b, tree][None, :]
+    meet = pairs_to_compare(labels, a, b, depth, tree)
     if same:
         meet &= a[:, None] < b[None, :]
     at_a, at_b = np.nonzero(meet)
     one, two = a[at_a], b[at_b]
+    if not len(one):
+        return pd.DataFrame(columns=["key", "links", "root", "pairs", "expected"], dtype=object)
     numbers, counts = shingles(group["text"].tolist())
     sets = [np.unique(s) for s in np.split(numbers, np.cumsum(counts)[:-1])]
-    linked = jaccard_links(sets, one, two, least)
-    one, two = one[linked], two[linked]
+    linked, similarity = jaccard_links(sets, one, two, least)
+    one, two, similarity = one[linked], two[linked], similarity[linked]
     copies = group["copies"].to_numpy()
     links = np.bincount(one, weights=copies[two], minlength=len(group))
     links += np.bincount(two, weights=copies[one], minlength=len(group))
     root = smallest_linked(one, two, len(group))
+    pairs = np.bincount(one, minlength=len(group))
+    expected = np.zeros((len(group), LONGEST_PREFIX))
+    np.add.at(expected, one, 1 / chance_to_meet(similarity[:, None], np.arange(1, LONGEST_PREFIX + 1)))
     told = links > 0
     key = group["key"].to_numpy()
-    return pd.DataFrame({"key": key[told], "links": links[told].astype(np.int64), "root": key[root[told]]})
+    return pd.DataFrame(
+        {
+            "key": key[told],
+            "links": links[told].astype(np.int64),
+            "root": key[root[told]],
+            "pairs": pairs[told],
+            "expected": pd.Series(list(expected[told]), dtype=object),
+        }
+    )
 
 
-def near_texts(
-    docs: DataFrame,
-    least: float = LEAST_SIMILARITY,
-    recall: float = TARGET_RECALL,
-    texts_per_block: int = TEXTS_PER_BLOCK,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, key) and classes (key, class_key, copies, n_links) of ``docs``.
+def not_alone(docs: DataFrame, texts: DataFrame, shortest: int) -> DataFrame:
+    """key, component, copies, labels, text of ``texts`` that share a prefix of the shortest length."""
+    nodes = F.array(*[F.xxhash64(node_name(tree, shortest)) for tree in range(TREES)])
+    below = texts.where("labels is not null").select("key", F.explode(nodes).alias("node"))
+    tops = below.groupBy("node").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    placed = components(below.join(tops, "node").select("key", "low")).toDF("key", "component")
+    # Copies are folded before anything meets, so a text with very many gathers nowhere.
+    bodies = ids_and_texts(docs).groupBy(text_key().alias("key")).agg(F.first("text").alias("text"))
+    return staged(bodies.join(placed.join(texts, "key"), "key"), "not-alone")
 
-    Every distinct text has one row among the classes; class_key is the smallest
-    key that it reaches by links.
+
+def meetings(met: DataFrame, depth: int, texts_per_block: int = TEXTS_PER_BLOCK) -> DataFrame:
+    """key, meeting, blocks: where texts (key, component, labels) are compared at a depth, in how many blocks.
+
+    A meeting is a component, named by sixteen bytes, or a node, named as by
+    ``node_name``. Of the two ways a component takes the one that moves fewer texts.
     """
-    described = staged(with_nodes(docs, prefix_length(least, recall=recall)), "signatures")
-    texts = staged(
-        described.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("nodes").alias("nodes")),
-        "texts",
+    blocks = F.ceil(F.col("n") / texts_per_block).cast("int")
+    places = F.array(
+        *[
+            F.struct(
+                node_name(tree, depth).alias("node"),
+                # One longer prefix for all has been dealt with; at the greatest depth every text is one.
+                (F.crc32(_label(tree, depth, 1)) if depth < LONGEST_PREFIX else F.xxhash64("key")).alias("child"),
+            )
+            for tree in range(TREES)
+        ]
     )
-    below = texts.select("key", F.explode("nodes").alias("node"))
-    tops = below.groupBy("node").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    candidates = components(below.join(tops.select("node", "low"), "node").select("key", "low"))
-    sizes = candidates.groupBy("component").agg(
-        F.ceil(F.count(F.lit(1)) / texts_per_block).cast("int").alias("blocks")
+    below = met.select("key", "component", F.explode(places).alias("at")).select("key", "component", "at.*")
+    tops = below.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.min("child").alias("least"), F.max("child").alias("most")
     )
-    grouped = (
-        candidates.join(sizes, "component")
-        .join(texts, candidates["node"] == texts["key"])
-        .select("component", "blocks", "key", "copies", "nodes")
+    tops = tops.where("least < most").select("node", "n")
+    members = staged(below.drop("child").join(tops, "node"), "members")
+    placed = members.groupBy("component", "key").agg(F.sum(blocks).alias("times"))
+    ways = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("times").alias("by_node"))
+    ways = ways.select("component", blocks.alias("wide"), (F.col("by_node") < F.col("n") * blocks).alias("split"))
+    whole = placed.join(ways.where("not split"), "component").select(
+        "key", F.col("component").alias("meeting"), F.col("wide").alias("blocks")
     )
-    bodies = ids_and_texts(docs).select(text_key().alias("text_key"), "text")
-    met = (
-        bodies.join(grouped, F.col("text_key") == F.col("key"))
-        .dropDuplicates(["key"])
-        .withColumn("block", F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")).cast("int"))
+    split = members.join(ways.where("split"), "component").select("key", F.col("node").alias("meeting"), blocks)
+    return whole.union(split)
+
+
+def links_at(met: DataFrame, depth: int, least: float, texts_per_block: int = TEXTS_PER_BLOCK) -> DataFrame:
+    """Links between texts of ``not_alone`` whose longest common prefix has this length."""
+    block = F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")).cast("int")
+    pairs = (
+        met.drop("component")
+        .join(meetings(met, depth, texts_per_block), "key")
+        .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "component",
+            "meeting",
             F.least("block", "other").alias("i"),
             F.greatest("block", "other").alias("j"),
             "key",
             "text",
             "copies",
-            "nodes",
+            "labels",
             (F.col("block") <= F.col("other")).alias("first"),
         )
     )
 
     def links_of(names: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return block_links(group, names[1] == names[2], least)
+        meeting, i, j = names
+        return block_links(group, i == j, least, depth, None if len(meeting) == 16 else meeting[0])
 
-    keys = ["component", "i", "j"]
-    width = 4 * shuffle_width(docs.sparkSession)
-    found = staged(
-        met.repartition(width, *keys)
+    keys = ["meeting", "i", "j"]
+    return (
+        pairs.repartition(4 * shuffle_width(met.sparkSession), *keys)
         .groupBy(*keys)
-        .applyInPandas(links_of, "key binary, links bigint, root binary"),
-        "links",
+        .applyInPandas(links_of, "key binary, links bigint, root binary, pairs bigint, expected array<double>")
+    )
+
+
+def share_found(found: DataFrame, depth: int) -> float:
+    """Share of all links that were found down to this depth, as those found let expect; 0 without any."""
+    pairs, expected = found.agg(F.sum("pairs"), F.sum(F.element_at("expected", depth))).first()
+    return pairs / expected if pairs else 0.0
+
+
+def near_texts(
+    docs: DataFrame,
+    least: float = LEAST_SIMILARITY,
+    recall: float = TARGET_RECALL,
+    texts_per_block: int = TEXTS_PER_BLOCK,
+    enough: float = ENOUGH_LINKS,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, key) and classes (key, class_key, copies, n_links) of ``docs``.
+
+    Every distinct text has one row among the classes; class_key is the smallest
+    key that it reaches by links.
+    """
+    described = staged(with_labels(docs), "signatures")
+    texts = staged(
+        described.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")),
+        "texts",
     )
+    shortest = prefix_length(least, recall=recall)
+    met = not_alone(docs, texts, shortest)
+    depth = LONGEST_PREFIX
+    found = staged(links_at(met, depth, least, texts_per_block), "links")
+    while depth > shortest and share_found(found, depth) < enough:
+        depth -= 1
+        found = found.union(staged(links_at(met, depth, least, texts_per_block), "links"))
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     parts = components(found.select("key", "root")).toDF("key", "class_key")
     classes = (

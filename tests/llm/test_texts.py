@@ -10,10 +10,22 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from codays.llm import attention, lm
 from codays.llm.byte_bpe import merge_long, read_ranks, round_trip
-from codays.llm.forest import jaccard_join, keep_one_each, prefix_length
+from codays.llm.forest import (
+    jaccard_join,
+    keep_one_each,
+    links_at,
+    meetings,
+    near_texts as near_classes,
+    not_alone,
+    pairs_to_compare,
+    prefix_length,
+    share_found,
+    with_labels,
+)
 from codays.llm.lm import score_texts, words_of
 from codays.llm.mixing import MOST_REPEATS, mixture, mixture_sql
 from codays.llm.common import remainder
@@ -255,6 +267,72 @@ def test_jaccard_join_against_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted({e[1] for e in expected})
 
 
+def chained_texts(n, near_every):
+    """Texts of which neighbours share 53 of 67 shingles; some have a copy with another last word."""
+    words = [f"c{k}" for k in range(7 * n + 64)]
+    texts = [" ".join(words[7 * i : 7 * i + 64]) for i in range(n)]
+    texts += [texts[i].rsplit(" ", 1)[0] + " else" for i in range(0, n, near_every)]
+    return list(enumerate(texts))
+
+
+def texts_met(docs):
+    texts = with_labels(docs).groupBy("key").agg(F.count("*").alias("copies"), F.first("labels").alias("labels"))
+    return not_alone(docs, texts, prefix_length())
+
+
+def test_long_chains_meet_at_their_nodes(spark):
+    met = texts_met(frame(spark, chained_texts(5_000, 10_000)))
+    # Blocks of a chain of a thousand texts would move each text 17 times, of a longer one more often.
+    for depth in (8, 5):
+        times = meetings(met, depth, 64).groupBy("key").agg(
+            F.sum("blocks").alias("times"), F.max(F.length("meeting") != 16).alias("split")
+        )
+        most, split = times.agg(F.max("times"), F.avg(F.col("split").cast("int"))).first()
+        assert most <= 20 and split > 0.9
+
+
+def test_node_by_node_equals_brute_force(spark):
+    rows = chained_texts(400, 20) + [(500 + i, text) for i, text in enumerate(t for _, t in near_texts()[:100])]
+    expected = brute_links(rows)
+    docs = frame(spark, rows)
+    widths = {len(r.meeting) == 16 for r in meetings(texts_met(docs), 5, 16).collect()}
+    assert widths == {True, False}
+    found, classes = near_classes(docs, texts_per_block=16)
+    got = found.join(classes, "key").select("doc_id", "n_links").collect()
+    assert {r.doc_id: r.n_links for r in got} == {rows[k][0]: len(expected[k]) for k in range(len(rows))}
+
+
+def test_every_pair_is_compared_at_one_depth():
+    draws = np.random.default_rng(1)
+    labels = draws.integers(0, 2, (40, 20, 8)).astype(np.uint16)
+    places = np.arange(40)
+    same = np.cumprod(labels[:, None] == labels[None, :], axis=3).sum(axis=3)
+    for depth in range(1, 9):
+        meet = pairs_to_compare(labels, places, places, depth)
+        assert (meet == (same.max(axis=2) == depth)).all()
+        # Over the trees, each such pair is told once where it shares the node.
+        told = sum(
+            (pairs_to_compare(labels, places, places, depth, tree) & (same[:, :, tree] >= depth)).astype(int)
+            for tree in range(20)
+        )
+        assert (told == meet).all()
+
+
+def test_descent_ends_when_enough_is_found(spark):
+    base = [" ".join(f"d{k}_{i}" for i in range(200)) for k in range(40)]
+    alike = frame(spark, list(enumerate([*base, *[t + " more" for t in base]])))
+    met = texts_met(alike)
+    found = links_at(met, 8, 0.8)
+    assert found.agg(F.sum("pairs")).first()[0] == 40 and share_found(found, 8) > 0.9999
+    # Pairs that just link are found at the longest prefix less often, and the estimate tells.
+    changed = [t.rsplit(" ", 20)[0] + "".join(f" e{k}_{i}" for i in range(20)) for k, t in enumerate(base)]
+    weak = frame(spark, list(enumerate([*base, *changed])))
+    few = links_at(texts_met(weak), 8, 0.8)
+    assert share_found(few, 8) < 0.99
+    found, classes = near_classes(weak)
+    assert found.join(classes, "key").where("n_links = 1").count() == 80
+
+
 def test_prefixes_are_as_long_as_the_recall_allows():
     length = prefix_length(0.8, 20, 8, 0.999)
     assert 1 - (1 - 0.8**length) ** 20 >= 0.999 > 1 - (1 - 0.8 ** (length + 1)) ** 20
