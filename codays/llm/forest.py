@@ -44,7 +44,7 @@ TREES, LONGEST_PREFIX = 20, 8
 #: and share of all links, as estimated from those found, that ends the descent before.
 TARGET_RECALL, ENOUGH_LINKS = 0.999, 0.9999
 BYTES_PER_LABEL = 2
-TEXTS_PER_BLOCK = 256
+TEXTS_PER_BLOCK, PARTS = 256, 16
 SEED = 8
 
 
@@ -258,12 +258,15 @@ def meetings(met: DataFrame, depth: int, texts_per_block: int = TEXTS_PER_BLOCK)
     tops = tops.where("least < most").select("node", "n")
     members = staged(below.drop("child").join(tops, "node"), "members")
     placed = members.groupBy("component", "key").agg(F.sum(blocks).alias("times"))
+    # The texts of one component are read in parts, as it may hold very many.
+    part = F.pmod(F.xxhash64("key"), F.lit(PARTS))
     ways = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("times").alias("by_node"))
     ways = ways.select("component", blocks.alias("wide"), (F.col("by_node") < F.col("n") * blocks).alias("split"))
-    whole = placed.join(ways.where("not split"), "component").select(
+    ways = ways.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).cast("long"))
+    whole = placed.withColumn("part", part).join(ways.where("not split"), ["component", "part"]).select(
         "key", F.col("component").alias("meeting"), F.col("wide").alias("blocks")
     )
-    split = members.join(ways.where("split"), "component").select("key", F.col("node").alias("meeting"), blocks)
+    split = members.withColumn("part", part).join(ways.where("split"), ["component", "part"]).select("key", F.col("node").alias("meeting"), blocks)
     return whole.union(split)
 
 
