@@ -262,7 +262,7 @@ def meetings(met: DataFrame, depth: int, texts_per_block: int = TEXTS_PER_BLOCK)
     part = F.pmod(F.xxhash64("key"), F.lit(PARTS))
     ways = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("times").alias("by_node"))
     ways = ways.select("component", blocks.alias("wide"), (F.col("by_node") < F.col("n") * blocks).alias("split"))
-    ways = ways.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).cast("long"))
+    ways = ways.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
     whole = placed.withColumn("part", part).join(ways.where("not split"), ["component", "part"]).select(
         "key", F.col("component").alias("meeting"), F.col("wide").alias("blocks")
     )
