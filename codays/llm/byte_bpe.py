@@ -2,8 +2,8 @@
 
 Merging is done once per distinct word of the corpus, by Spark's higher-order
 functions: a word is an array of byte pieces with the ranks of its neighbouring
-pairs, and a fold over as many steps as it has bytes replaces the
-lowest-ranked pair, the leftmost among equals, by one piece. Ranks stand in a literal
+pairs, and a fold over two steps for each of its bytes finds the
+lowest-ranked pair, the leftmost among equals, and replaces it by one piece. Ranks stand in a literal
 array of small maps, addressed by a checksum of the piece, because a look-up in
 one large literal map would go through all of its entries.
 
@@ -30,7 +30,8 @@ from codays.llm.buckets import packed, unpacked
 
 #: A worker holds a bucket's texts, its words and all ids at once.
 BYTES_PER_BUCKET = 12_000_000
-SLOTS = 1 << 16
+#: Every task reads the literal again, and empty maps cost as much to read as full ones.
+SLOTS = 1 << 14
 NO_RANK = 2**31 - 1
 #: The fold takes time with the square of a word; longer ones are merged with a heap.
 LONG_WORD = 512
@@ -53,72 +54,63 @@ def _rank_slots(ranks: dict[bytes, int]) -> Column:
 
 
 def _rank(slots: Column, piece: Column) -> Column:
-    slot = (F.crc32(F.encode(piece, "utf-8")) % SLOTS + 1).cast("int")
+    slot = (F.crc32(piece.cast("binary")) % SLOTS + 1).cast("int")
     return F.coalesce(F.element_at(F.element_at(slots, slot), piece), F.lit(NO_RANK))
 
 
 def _bound(value: Column, body) -> Column:
-    """``body`` with ``value`` computed once."""
+    """``body`` with ``value`` computed once; what ``body`` returns is copied."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def merged_pieces(word: Column, slots: Column) -> Column:
-    """Hexadecimal pieces of a word after all merges."""
+    """Hexadecimal pieces of a word after all merges.
 
-    def rank(piece: Column) -> Column:
-        return _rank(slots, piece)
-
-    hexed = F.hex(F.encode(word, "utf-8"))
-    size = (F.length(hexed) / 2).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(hexed, i * 2 + 1, F.lit(2)))
-    no_ranks = F.array().cast("array<int>")
-
-    def neighbours(p: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(p) - 1)
-        pairs = F.transform(places, lambda i: rank(F.concat(F.element_at(p, i), F.element_at(p, i + 1))))
-        return F.when(F.size(p) > 1, pairs).otherwise(no_ranks)
-
-    start = _bound(pieces, lambda p: F.struct(p.alias("pieces"), neighbours(p).alias("ranks")))
-
-    def merge(state: Column, at: Column) -> Column:
-        p, r = state["pieces"], state["ranks"]
-        joined = F.concat(F.element_at(p, at), F.element_at(p, at + 1))
-
-        def replaced(new: Column) -> Column:
-            left = F.when(at > 1, F.array(rank(F.concat(F.element_at(p, F.greatest(at - 1, F.lit(1))), new))))
-            after = F.concat(new, F.element_at(p, F.least(at + 2, F.size(p))))
-            right = F.when(at + 1 < F.size(p), F.array(rank(after)))
-            return F.struct(
-                F.concat(
-                    F.slice(p, F.lit(1), at - 1), F.array(new), F.slice(p, at + 2, F.size(p))
-                ).alias("pieces"),
-                F.concat(
-                    F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                    F.coalesce(left, no_ranks),
-                    F.coalesce(right, no_ranks),
-                    F.slice(r, at + 2, F.size(r)),
-                ).alias("ranks"),
-            )
-
-        return _bound(joined, replaced)
+    The state holds the pieces, the ranks of pieces k-1 and k at place k, with no rank
+    at either end, and the place to merge. Odd steps find the place and even steps
+    merge there, because a state bound to a name inside a step would be copied.
+    """
+    none = F.array(F.lit(NO_RANK))
 
-    def step(state: Column, _: Column) -> Column:
-        lowest = F.coalesce(F.array_min(state["ranks"]), F.lit(NO_RANK))
-        at = F.array_position(state["ranks"], lowest).cast("int")
-        return F.when(lowest == NO_RANK, state).otherwise(_bound(at, lambda i: merge(state, i)))
+    def start(hexed: Column) -> Column:
+        size = (F.length(hexed) / 2).cast("int")
+        pieces = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(hexed, i * 2 - 1, F.lit(2)))
+        pairs = F.transform(
+            F.sequence(F.lit(1), size - 1), lambda i: _rank(slots, F.substring(hexed, i * 2 - 1, F.lit(4)))
+        )
+        ranks = F.when(size > 1, F.concat(none, pairs, none)).otherwise(F.concat(none, none))
+        return F.struct(pieces.alias("pieces"), ranks.alias("ranks"), F.lit(1).alias("at"))
+
+    def step(state: Column, number: Column) -> Column:
+        p, r, at = state["pieces"], state["ranks"], state["at"]
+        lowest = F.array_position(r, F.array_min(r)).cast("int")
+        new = F.concat(F.element_at(p, at - 1), F.element_at(p, at))
+        left = F.when(at > 2, _rank(slots, F.concat(F.element_at(p, at - 2), new))).otherwise(NO_RANK)
+        right = F.when(at < F.size(p), _rank(slots, F.concat(new, F.element_at(p, at + 1)))).otherwise(NO_RANK)
+        merged = F.struct(
+            F.concat(F.slice(p, F.lit(1), at - 2), F.array(new), F.slice(p, at + 1, F.size(p))).alias("pieces"),
+            F.concat(F.slice(r, F.lit(1), at - 2), F.array(left, right), F.slice(r, at + 2, F.size(r))).alias("ranks"),
+            at.alias("at"),
+        )
+        found = F.struct(p.alias("pieces"), r.alias("ranks"), lowest.alias("at"))
+        # Without a pair left, the place is the first end, which has no rank.
+        return F.when(number % 2 == 1, found).when(F.element_at(r, at) == NO_RANK, state).otherwise(merged)
 
-    return F.aggregate(F.sequence(F.lit(1), size), start, step)["pieces"]
+    hexed = F.hex(word.cast("binary"))
+    steps = F.sequence(F.lit(1), F.octet_length(word) * 2)
+    return F.aggregate(steps, _bound(hexed, start), step)["pieces"]
 
 
 def encoded_word(word: Column, ranks: dict[bytes, int]) -> Column:
     """The ids of a word as little-endian unsigned 32-bit numbers, in hexadecimal."""
 
-    def encoded(slots: Column) -> Column:
-        def little_endian(piece: Column) -> Column:
-            digits = F.lpad(F.hex(_rank(slots, piece)), 8, "0")
-            return F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)])
+    def reversed_bytes(digits: Column) -> Column:
+        return F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)])
 
-        return F.array_join(F.transform(merged_pieces(word, slots), little_endian), "")
+    def encoded(slots: Column) -> Column:
+        pieces = merged_pieces(word, slots)
+        digits = F.transform(pieces, lambda piece: F.lpad(F.hex(_rank(slots, piece)), 8, "0"))
+        return F.array_join(F.transform(digits, reversed_bytes), "")
 
     # Bound to a name, the literal stands in the plan once.
     return _bound(_rank_slots(ranks), encoded)
