@@ -53,7 +53,7 @@ def packed(docs: DataFrame, bytes_per_bucket: int = BYTES_PER_BUCKET) -> tuple[D
             for places in np.split(order, starts[1:]) if len(own) else []:
                 part = batch.select(["doc_id", "text"]).take(pa.array(places))
                 sink = pa.BufferOutputStream()
-                options = pa.ipc.IpcWriteOptions(compression="zstd")
+                options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
                 with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
                     writer.write_batch(part)
                 blocks.append(sink.getvalue().to_pybytes())

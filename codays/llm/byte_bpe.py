@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,14 @@ from pyspark.sql import functions as F
 from codays.llm.buckets import packed, unpacked
 
 #: A worker holds a bucket's texts, its words and all ids at once.
-BYTES_PER_BUCKET = 12_000_000
+BYTES_PER_BUCKET = 24_000_000
 #: Every task reads the literal again, and empty maps cost as much to read as full ones.
 SLOTS = 1 << 14
 NO_RANK = 2**31 - 1
 #: The fold takes time with the square of a word; longer ones are merged with a heap.
 LONG_WORD = 512
+#: Words that a task packs together on their way back to the buckets.
+ROWS_AT_ONCE = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -168,6 +171,60 @@ def distinct_words(blocks: DataFrame, pattern: str) -> DataFrame:
     return blocks.mapInArrow(find, "bucket int, word string")
 
 
+def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, block) of (bucket, word, ids): the rows of a bucket among ``ROWS_AT_ONCE``, compressed.
+
+    Words are sorted and id bytes put together by their place in the id, as both compress better so.
+    """
+    codec = pa.Codec("zstd", 6)
+
+    def parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        _, offsets, data = column.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+        return bounds, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+
+    def blocks(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        rows = rows.take(pc.sort_indices(rows, [("bucket", "ascending"), ("word", "ascending")])).combine_chunks()
+        own = rows.column("bucket").to_numpy()
+        (words, letters), (ids, numbers) = (parts(rows.column(c).chunk(0)) for c in ("word", "ids"))
+        starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        made = []
+        for a, b in zip(starts, [*starts[1:], len(own)]):
+            lengths = np.concatenate((np.diff(words[a : b + 1]), np.diff(ids[a : b + 1]))).astype("<u2").tobytes()
+            planes = numbers[ids[a] : ids[b]].reshape(-1, 4).T.tobytes()
+            raw = int(b - a).to_bytes(4, "little") + lengths + letters[words[a] : words[b]].tobytes() + planes
+            made.append(len(raw).to_bytes(4, "little") + codec.compress(raw, asbytes=True))
+        columns = [pa.array(own[starts], pa.int32()), pa.array(made, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "block"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= ROWS_AT_ONCE:
+            yield blocks(held)
+            held = []
+    if held:
+        yield blocks(held)
+
+
+def unpacked_words(block: bytes) -> Iterator[tuple[str, bytes]]:
+    """The (word, ids) rows of a block of ``pack_words``."""
+    raw = pa.Codec("zstd").decompress(block[4:], int.from_bytes(block[:4], "little"), asbytes=True)
+    rows = int.from_bytes(raw[:4], "little")
+    lengths = np.frombuffer(raw, "<u2", 2 * rows, 4).astype(np.int32).reshape(2, rows)
+    words, ids = (np.concatenate(([0], np.cumsum(x))).astype(np.int32) for x in lengths)
+    first = 4 + 4 * rows
+    letters, planes = raw[first : first + words[-1]], np.frombuffer(raw, np.uint8, -1, first + words[-1])
+    numbers = np.ascontiguousarray(planes.reshape(4, -1).T)
+    columns = (
+        pa.StringArray.from_buffers(rows, pa.py_buffer(words), pa.py_buffer(letters)),
+        pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ids), pa.py_buffer(numbers)]),
+    )
+    return zip(*(c.to_pylist() for c in columns))
+
+
 def encode_documents(
     docs: DataFrame, ranks_path: str, pattern: str, bytes_per_bucket: int = BYTES_PER_BUCKET
 ) -> DataFrame:
@@ -183,10 +240,13 @@ def encode_documents(
     known = asked.withColumn("ids", F.unhex(encoded_word(F.col("word"), ranks))).select(
         F.explode("buckets").alias("bucket"), "word", "ids"
     )
+    known = known.mapInArrow(pack_words, "bucket int, block binary")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def put_together(texts: pa.Table, words: pa.Table) -> pa.Table:
-        ids_of = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
+        ids_of: dict[str, bytes] = {}
+        for block in words.column("block"):
+            ids_of.update(unpacked_words(block.as_py()))
         words_in = regex.compile(pattern).findall
         kept, encoded = [], []
         for table in unpacked(texts.column("block")):

@@ -8,12 +8,13 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from codays.llm import attention, lm
-from codays.llm.byte_bpe import merge_long, read_ranks, round_trip
+from codays.llm.byte_bpe import merge_long, pack_words, read_ranks, round_trip, unpacked_words
 from codays.llm.forest import (
     jaccard_join,
     keep_one_each,
@@ -538,3 +539,20 @@ def test_scores_are_probabilities_of_the_model():
         part = scorer.log10(inputs[:20], targets[:20], np.array([20]))[0]
         total += 10 ** (whole - part)
     assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_packed_words_come_back():
+    ids = np.arange(9, dtype="<u4")
+    rows = [(1, "é", ids[:1]), (0, "b\0c", ids[:2]), (1, "a" * 512, np.resize(ids, 512)), (1, "", ids[:0])]
+    columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string())]
+    batch = pa.RecordBatch.from_arrays(
+        [*columns, pa.array([r[2].tobytes() for r in rows], pa.binary())], ["bucket", "word", "ids"]
+    )
+    found = [
+        (bucket.as_py(), word, given)
+        for out in pack_words(iter([batch.slice(0, 0), batch.slice(1), batch.slice(0, 1)]))
+        for bucket, block in zip(out.column("bucket"), out.column("block"))
+        for word, given in unpacked_words(block.as_py())
+    ]
+    assert sorted(found) == sorted((b, w, i.tobytes()) for b, w, i in rows)
+    assert list(pack_words(iter([]))) == []
