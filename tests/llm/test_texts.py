@@ -28,6 +28,7 @@ from codays.llm.forest import (
     with_labels,
 )
 from codays.llm.lm import score_texts, words_of
+from codays.llm.subword_code import SubwordCode, log_of_words
 from codays.llm.mixing import MOST_REPEATS, mixture, mixture_sql
 from codays.llm.common import remainder
 from codays.llm.toxicity import (
@@ -464,6 +465,69 @@ def test_attention_learns_from_every_window_in_any_layout(spark):
     assert not np.allclose(expected["output"], attention.initial(Given.frequencies)["output"], atol=1e-2)
 
 
+def test_attention_reads_every_subword(spark):
+    """Which of two words that begin alike comes next depends on later subwords only."""
+    rare = [w for w in (f"zq{a}{b}" for a in "bdgkm" for b in "bdgkm")]
+    ids = dict(zip(rare, lm.subwords([w.encode() for w in rare], RANKS, PATTERN)))
+    begin = collections.Counter(i[0] for i in ids.values()).most_common(1)[0][0]
+    one, two, three, four = [w for w in rare if ids[w][0] == begin and len(ids[w]) > 1][:4]
+    random.seed(21)
+
+    def text(follow):
+        return " ".join(f"{w} {follow[w]}" for w in random.choices([one, two], k=60))
+
+    fits, swapped = {one: three, two: four}, {one: four, two: three}
+    held = [i for i in range(3_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    training = [i for i in range(3_000) if zlib.crc32(str(i).encode()) % 10]
+    texts = [(i, text(fits)) for i in training[:600]] + [(i, text(fits)) for i in held[:20]]
+    words = dict(texts)
+    texts += [(i, " ".join({three: four, four: three}.get(w, w) for w in words[k].split())) for k, i in zip(held, held[20:40])]
+    score = {r.doc_id: r.score for r in score_texts(frame(spark, texts), RANKS, PATTERN).collect()}
+    # Counts and first subwords hardly tell the two apart.
+    for good, bad in zip(held, held[20:40]):
+        assert score[good] > score[bad] + 5
+
+
+def test_codes_of_subwords():
+    """Every id that a word can hold has a code, no code begins another, and probabilities sum to one."""
+    ranks = read_ranks(RANKS)
+    times = [(i, 10_000 // (1 + k)) for k, i in enumerate(range(300, 3_000))]
+    code = SubwordCode(ranks, times, 7)
+    words = [w.encode().lower() for w in ("The", "caf\u00e9", "x\u00a0y", "don't", "\U0001f600\U0001f600", "a1b2", "\x1c", "'", "zqxv" * 9)]
+    for pieces in lm.subwords(words, RANKS, PATTERN):
+        assert all(code.codes[i] for i in pieces)
+    given = sorted(c for c in code.codes if c)
+    assert len(given) == len(set(given))
+    assert not any(b.startswith(a) for a, b in zip(given, given[1:]))
+    assert {len(c) for c in given} == {1, 2, 3}
+    groups = np.array([code.groups[c[0]].argmax() for c in given])
+    begins = np.array([p[:1] == b" " for p in sorted((p for p, i in ranks.items() if code.codes[i]), key=lambda p: code.codes[ranks[p]])])
+    assert ((groups == 0) == begins).all()
+
+    rng = np.random.default_rng(8)
+    scorer = attention.Scorer.of(attention.initial(code.frequencies), code.frequencies)
+    prefix = np.concatenate(([255], rng.integers(0, 100, 10)))
+    p = np.array([scorer.places(prefix, np.append(prefix[1:], k), np.array([11]), code.groups)[0][-1] for k in range(256)])
+    _, masses = scorer.places(prefix, np.append(prefix[1:], 0), np.array([11]), code.groups)
+    assert p @ code.groups == pytest.approx(masses[-1], rel=1e-4)
+
+
+def test_words_from_symbols():
+    """First and further subwords of words, and ends, by hand."""
+    groups = np.zeros((256, 3))
+    groups[[1, 2, 255], 0] = groups[[3, 4], 1] = groups[[5, 6], 2] = 1
+    targets = np.array([1, 5, 3, 6, 2, 255, 255, 2, 255])
+    rng = np.random.default_rng(3)
+    masses = rng.dirichlet(np.ones(3), len(targets))
+    chosen = masses[np.arange(9), groups[targets].argmax(1)] * rng.random(9)
+    places, first, further, is_word = log_of_words(chosen, masses, targets, groups)
+    a, c, d = masses.T
+    stop = a / (a + c)
+    assert places.tolist() == [0, 4, 5, 6, 7, 8] and is_word.tolist() == [True, True, False, False, True, False]
+    assert np.exp(first) == pytest.approx([chosen[0] / a[0] * chosen[1] / d[1], *(chosen[[4, 5, 6, 7, 8]] / a[[4, 5, 6, 7, 8]])])
+    assert np.exp(further[[0, 1, 4]]) == pytest.approx([chosen[2] / (a + c)[2] * chosen[3] / d[3] * stop[4], stop[5], stop[8]])
+
+
 def test_scores_do_not_follow_the_layout(spark):
     """The same scores with 1, 8 and 40 buckets, each better than the base on held-out documents."""
     random.seed(17)
