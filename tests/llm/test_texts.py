@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from codays.llm import attention, lm
-from codays.llm.byte_bpe import merge_long, pack_words, read_ranks, round_trip, unpacked_words
+from codays.llm.byte_bpe import _slices, decode_documents, merge_long, pack_words, read_ranks, round_trip, unpacked_words
 from codays.llm.forest import (
     jaccard_join,
     keep_one_each,
@@ -375,6 +375,24 @@ def test_byte_bpe_equals_the_library(spark, sf_small):
     assert round_trip(frame(spark, []), RANKS, PATTERN).collect() == []
 
 
+def test_ids_are_decoded_in_slices(spark):
+    """A batch is decoded a bounded slice at a time, and no row or column is lost or moved."""
+    ids = [np.arange(n, dtype="<u4").tobytes() for n in (0, 5, 1_000, 2, 0, 700, 700, 1)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(8)), "ids": pa.array(ids, pa.binary())})
+    parts = list(_slices(batch, 1, 3_000))
+    assert [p.num_rows for p in parts] == [2, 1, 3, 2]
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert list(_slices(batch.slice(0, 0), 1)) == []
+    rows = spark.createDataFrame([(None, b"old", ids[1], "a"), (3, None, ids[3], None)], "k int, ids2 binary, ids binary, z string")
+    got = decode_documents(rows, RANKS, "ids2")
+    pieces = {rank: piece for piece, rank in read_ranks(RANKS).items()}
+    assert got.columns == rows.columns
+    whole = {n: b"".join(pieces[i] for i in range(n)) for n in (5, 2)}
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(None, whole[5], ids[1], "a"), (3, whole[2], ids[3], None)], key=repr
+    )
+
+
 def test_long_words_merge_alike():
     ranks = read_ranks(RANKS)
     library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
