@@ -5,7 +5,9 @@ to the score. For a query the lists are read from their good ends, step by step.
 A candidate's score lies between what has been read of it plus the worst that
 each unread list holds, and what has been read plus the best that each unread
 list can still give. Reading stops when too few candidates are left above the
-k-th best lower bound to matter; their scores are then completed.
+k-th best lower bound to matter; their scores are then completed. All queries of
+a block read a list to the same depths, so what a depth shows of it is a column of two
+tables, one to the upper and one to the lower end, and bounds of many queries are one product.
 
 Queries and candidates meet in blocks of bounded size, each pair of blocks in a
 group of its own, and the k best of every block are merged. Equal vectors are
@@ -26,6 +28,8 @@ QUERY_STEP = 50
 K = 5
 QUERIES_PER_BLOCK = 2048
 CANDIDATES_PER_BLOCK = 4096
+#: Queries of a block whose bounds are computed together.
+QUERIES_AT_ONCE = 256
 #: Reading stops when no more candidates than this, or a sixteenth of the block, are left.
 FEW = 64
 
@@ -45,56 +49,53 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 class SortedLists:
-    """The components of a block of candidates as sorted lists, one after the other."""
+    """The components of a block of candidates as sorted lists."""
 
     def __init__(self, vectors: np.ndarray):
         rows, width = vectors.shape
         self.integers, self.vectors = vectors, vectors.astype(np.float64)
-        columns = np.ascontiguousarray(self.vectors.T)
-        self.order = np.argsort(columns, axis=1, kind="stable").astype(np.intp)
-        self.sorted = np.take_along_axis(columns, self.order, axis=1)
-        #: Where a list's entry stands in a table of candidates by lists.
-        self.cells = self.order * width + np.arange(width, dtype=np.intp)[:, None]
+        self.sorted = np.sort(self.vectors, axis=0)
         largest = float(np.abs(self.vectors).max(initial=0))
         self.exact_below = 2.0**53 / max(1.0, largest * width)
 
+    def _shown(self, depth: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the most that each entry can be when lists are read to a depth.
+
+        Rising lists, read from the large end, come before falling ones, read from the small end.
+        """
+        x, lists = self.vectors.astype(kind), self.sorted.astype(kind)
+        above, below = lists[len(x) - depth], lists[depth - 1]
+        least = np.hstack((np.where(x >= above, x, lists[0]), np.where(x <= below, x, lists[-1])))
+        return least.T, np.hstack((np.maximum(x, above), np.minimum(x, below))).T
+
     def best(self, query: np.ndarray, k: int, few: int = FEW) -> tuple[np.ndarray, np.ndarray]:
         """Candidates that may be among the k best, ties included, with their scores."""
+        return self.best_of_each(query[None], k, few)[0]
+
+    def best_of_each(self, queries: np.ndarray, k: int, few: int = FEW) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``best`` for each query."""
         rows, width = self.vectors.shape
-        survivors = np.arange(rows)
         few = max(few, k, rows // 16)
-        if rows > few:
-            # A falling list is read from its small end, a rising one from its large end.
-            rising, falling = np.flatnonzero(query >= 0), np.flatnonzero(query < 0)
-            lists = np.concatenate((rising, falling))
-            weights = query[lists].astype(np.float64)[:, None]
-
-            def read(table: np.ndarray, start: int, stop: int) -> np.ndarray:
-                return np.concatenate((table[rising, rows - stop : rows - start], table[falling, start:stop]))
-
-            worst = np.concatenate((self.sorted[rising, 0], self.sorted[falling, -1]))[:, None] * weights
-            #: A candidate's lower bound; upper bounds add what unread lists may give.
-            lowest = np.full(rows, worst.sum())
-            unread = np.ones(rows * width, np.float32)
-            start, depth = 0, rows // 4
-            while start < rows:
-                stop = min(start + depth, rows)
-                gains = read(self.sorted, start, stop) * weights - worst
-                lowest += np.bincount(
-                    read(self.order, start, stop).ravel(), weights=gains.ravel(), minlength=rows
-                )
-                unread[read(self.cells, start, stop).ravel()] = 0.0
-                still = np.empty(width, np.float32)
-                still[lists] = gains.min(axis=1)
-                highest = lowest + unread.reshape(rows, width) @ still
-                floor = np.partition(lowest, rows - k)[rows - k]
-                # Single precision may be off by a little, so nothing that near is given up.
-                slack = 1e-5 * (float(still.sum()) + abs(floor) + 1.0)
-                survivors = np.flatnonzero(highest >= floor - slack)
-                if len(survivors) <= few:
-                    break
-                start, depth = stop, rows // 8
-        return survivors, self._scores(survivors, query)
+        survivors = [np.arange(rows)] * len(queries)
+        asking, depth = np.arange(len(queries)) if rows > few else np.arange(0), 0
+        extent = np.abs(self.sorted[[0, -1]]).max(axis=0) if rows else np.zeros(width)
+        largest = max(float(extent.max(initial=0)), float(np.abs(queries).max(initial=0)))
+        kind = np.float32 if largest < 2**24 else np.float64
+        while len(asking) and depth < rows:
+            depth = min(depth + rows // (8 if depth else 4), rows)
+            least, most = self._shown(depth, kind)
+            for own in np.array_split(asking, -(-len(asking) // QUERIES_AT_ONCE)):
+                # A rising list is read from its large end, a falling one from its small end.
+                asked = queries[own].astype(kind)
+                weights = np.hstack((np.maximum(asked, 0), np.minimum(asked, 0)))
+                floor = np.partition(weights @ least, rows - k, axis=1)[:, rows - k]
+                # Sums are off by a little, so nothing that near is given up.
+                slack = (2 * width + 8) * np.finfo(kind).eps * (np.abs(asked) @ extent.astype(kind))
+                left = weights @ most >= (floor - slack)[:, None]
+                for number, row in zip(own, left):
+                    survivors[number] = np.flatnonzero(row)
+            asking = asking[[len(survivors[number]) > few for number in asking]]
+        return [(own, self._scores(own, query)) for own, query in zip(survivors, queries)]
 
     def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         if float(np.abs(query).max(initial=0)) < self.exact_below:
@@ -140,31 +141,28 @@ def top_k(
     def block(n: int):
         return F.pmod(F.xxhash64("q"), F.lit(n)).cast("int")
 
-    left = asked_vectors.select(
-        F.size("q").alias("length"), block(query_blocks).alias("i"), every(candidate_blocks).alias("j"), "asked", "q"
-    )
-    right = candidates.select(
-        F.size("q").alias("length"), every(query_blocks).alias("i"), block(candidate_blocks).alias("j"), "ids", "q"
-    )
+    length, at = F.size("q").alias("length"), (F.col("i") * candidate_blocks + F.col("j")).alias("at")
+    left = asked_vectors.select(block(query_blocks).alias("i"), every(candidate_blocks).alias("j"), "asked", "q")
+    right = candidates.select(every(query_blocks).alias("i"), block(candidate_blocks).alias("j"), "ids", "q")
 
     def best_of_block(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asking) and len(offered):
-            lists = SortedLists(_matrix(offered["q"]))
-            for asked_id, query in zip(asking["asked"], _matrix(asking["q"])):
-                found, scores = lists.best(query, min(k + 1, len(offered)))
-                rows = sorted(
-                    (-int(s), int(x)) for f, s in zip(found, scores) for x in offered["ids"].iat[f]
-                )
+            lists, ids = SortedLists(_matrix(offered["q"])), offered["ids"].tolist()
+            enough = min(k + 1, len(offered))
+            answers = lists.best_of_each(_matrix(asking["q"]), enough)
+            for asked_id, (found, scores) in zip(asking["asked"], answers):
+                best = np.flatnonzero(scores >= np.partition(scores, len(scores) - enough)[len(scores) - enough])
+                rows = sorted((-int(scores[n]), int(x)) for n in best for x in ids[found[n]])
                 out += [(asked_id, x, -s) for s, x in rows[: k + 1]]
         return pd.DataFrame(out, columns=["asked", "vec_id", "score"]).astype("int64")
 
     width = query_blocks * candidate_blocks
-    keys = ["length", "i", "j"]
+    keys = ["at", "length"]
     offers = (
-        left.repartition(width, *keys)
+        left.select(length, at, "asked", "q").repartitionById(width, "at")
         .groupBy(*keys)
-        .cogroup(right.repartition(width, *keys).groupBy(*keys))
+        .cogroup(right.select(length, at, "ids", "q").repartitionById(width, "at").groupBy(*keys))
         .applyInPandas(best_of_block, "asked bigint, vec_id bigint, score bigint")
     )
     by_vector = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")

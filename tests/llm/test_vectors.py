@@ -141,6 +141,24 @@ def test_reading_stops_with_all_winners_left():
         assert (vectors[rows] @ query == scores).all()
 
 
+def test_bounds_of_many_queries_are_one_product(monkeypatch):
+    """All queries of a block share the tables of a depth, and each gets its winners, small or huge."""
+    rng = np.random.default_rng(3)
+    made, shown = [], SortedLists._shown
+    monkeypatch.setattr(SortedLists, "_shown", lambda *given: made.append(given[1:]) or shown(*given))
+    for top in (2, 40, 2**28):
+        vectors = np.vstack((rng.integers(-top, top, (900, 6)), np.full((200, 6), top // 2)))
+        queries = rng.integers(-top, top, (600, 6))
+        made.clear()
+        answers = SortedLists(vectors).best_of_each(queries, 6)
+        assert len(made) == len(set(made)) <= 8 and len(answers) == 600
+        for query, (rows, scores) in zip(queries, answers):
+            every = vectors @ query
+            assert set(np.flatnonzero(every >= np.sort(every)[-6])) <= set(rows)
+            assert (every[rows] == scores).all()
+    assert SortedLists(vectors).best_of_each(queries[:0], 6) == []
+
+
 def test_components(spark):
     random.seed(1)
     edges = [(random.randrange(300), random.randrange(300)) for _ in range(140)] + [(i, i + 1) for i in range(500, 560)]
