@@ -93,7 +93,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others; an empty table gives none. Only doc_id and text are read.
     """
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    decoded = decode_documents(encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
+    encoded = encode_documents(docs, ranks, public_tokenizers.PATTERN, cut_at_blanks=True)
+    decoded = decode_documents(encoded, ranks)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

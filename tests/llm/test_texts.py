@@ -10,11 +10,23 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
 from codays.llm import attention, lm
-from codays.llm.byte_bpe import _slices, decode_documents, merge_long, pack_words, read_ranks, round_trip, unpacked_words
+from codays.llm.byte_bpe import (
+    _slices,
+    decode_documents,
+    joined,
+    merge_long,
+    pack_words,
+    parts_of,
+    read_ranks,
+    round_trip,
+    unpacked_words,
+    words_of_parts,
+)
 from codays.llm.forest import (
     jaccard_join,
     keep_one_each,
@@ -373,6 +385,47 @@ def test_byte_bpe_equals_the_library(spark, sf_small):
     got = round_trip(frame(spark, texts), RANKS, PATTERN).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
     assert round_trip(frame(spark, []), RANKS, PATTERN).collect() == []
+    cut = round_trip(frame(spark, texts), RANKS, PATTERN, cut_at_blanks=True).collect()
+    assert sorted(map(tuple, cut), key=repr) == sorted(expected, key=repr)
+    assert round_trip(frame(spark, []), RANKS, PATTERN, cut_at_blanks=True).collect() == []
+
+
+def test_parts_have_the_words_of_the_text():
+    """Cuts never divide a word or change one, whatever the white space; and a word alone is that word."""
+    random.seed(8)
+    words_in = regex.compile(PATTERN).findall
+    spaces = [c for c in map(chr, range(0x3100)) if c.isspace() or regex.match(r"\s", c)]
+    letters = [*"ab.1'sl", *spaces, *" \n\r\t" * 6, "\0", "é", "日", "'ll", "😀"]
+    texts = ["", *("".join(random.choices(letters, k=random.randint(0, 12))) for _ in range(20_000))]
+    for text, parts in zip(texts, parts_of(pa.array(texts)).to_pylist(), strict=True):
+        assert "".join(parts) == text and sum(map(words_in, parts), []) == words_in(text)
+    words = {w for text in texts for w in words_in(text)}
+    assert all(words_in(w) == [w] for w in words)
+
+
+def test_each_part_is_searched_and_looked_up_once():
+    """Work in Python goes with the distinct parts of a bucket, not with all its words."""
+    blocks = [pa.array([" aa b," * 50, "x", ""]), pa.array([], pa.string()), pa.array(["x aa b, aa c" * 30])]
+    searched, asked = [], []
+
+    def words_in(part):
+        searched.append(part)
+        return regex.findall(PATTERN, part)
+
+    parts = [parts_of(b) for b in blocks]
+    words = words_of_parts([p.flatten() for p in parts], words_in)
+    assert len(searched) == len(set(searched)) == 6
+    whole = [t for b in blocks for t in b.to_pylist()]
+    assert set(words.to_pylist()) == {w for t in whole for w in regex.findall(PATTERN, t)}
+    ids = pa.array([w.encode("utf-32-le") for w in words.to_pylist()], pa.binary())
+
+    def made(given):
+        asked.extend(given)
+        return pa.array([p.encode("utf-32-le") for p in given], pa.binary())
+
+    got = [i.decode("utf-32-le") for block in joined(parts, words, ids, made) for i in block.to_pylist()]
+    assert got == whole
+    assert sorted(asked) == sorted(set(searched) - set(words.to_pylist()))
 
 
 def test_ids_are_decoded_in_slices(spark):
