@@ -15,6 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from codays.llm import attention, lm
+from codays.llm.buckets import packed, unpacked
 from codays.llm.byte_bpe import (
     _slices,
     decode_documents,
@@ -676,6 +677,31 @@ def test_scores_are_probabilities_of_the_model():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_known_words_travel_compressed(spark):
+    """What is known of words, and texts, are shuffled as blocks far below their size, and nothing is lost."""
+    rng = np.random.default_rng(9)
+    names = ["bucket", "word", "n", "symbols", "counted"]
+    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.float32()]
+    rows = [(k % 3, b"word%d" % (k // 3), k % 7, bytes([k % 5, 1]), -float(k % 50)) for k in range(30_000)]
+    rows = [rows[k] for k in rng.permutation(len(rows))]
+    whole = pa.table([pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)], names)
+    batches = whole.to_batches(7_000)
+    packed_rows = list(lm._pack_known(iter([batches[0].slice(0, 0), *batches])))
+    found = [
+        (bucket, *row.values())
+        for out in packed_rows
+        for bucket, block in zip(out.column("bucket").to_pylist(), out.column("block"))
+        for row in next(unpacked([block])).to_pylist()
+    ]
+    assert sorted(found) == sorted((b, w, n, y, c) for b, w, n, y, c in whole.to_pandas().itertuples(index=False))
+    assert sum(out.nbytes for out in packed_rows) < 0.3 * whole.nbytes
+    docs = frame(spark, [(k, f"text {k} " + "of many words " * 20) for k in range(500)] + [(None, None)])
+    blocks, buckets, doc_id = packed(docs, 50_000, F.lit(True).alias("held_out"))
+    got = [(b.bucket, *row.values()) for b in blocks.collect() for row in next(unpacked(pa.array([bytes(b.block)]))).to_pylist()]
+    assert (buckets, doc_id) == (3, "bigint") and {b for b, *_ in got} == {0, 1, 2}
+    assert sorted((r[1:] for r in got), key=repr) == sorted(((r.doc_id, r.text or "", True) for r in docs.collect()), key=repr)
+
+
 def test_packed_words_come_back():
     ids = np.arange(9, dtype="<u4")
     rows = [(1, "é", ids[:1]), (0, "b\0c", ids[:2]), (1, "a" * 512, np.resize(ids, 512)), (1, "", ids[:0])]
