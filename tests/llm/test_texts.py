@@ -19,6 +19,7 @@ from codays.llm.buckets import packed, unpacked
 from codays.llm.byte_bpe import (
     _slices,
     decode_documents,
+    encoded_word,
     joined,
     merge_long,
     pack_words,
@@ -717,3 +718,26 @@ def test_packed_words_come_back():
     ]
     assert sorted(found) == sorted((b, w, i.tobytes()) for b, w, i in rows)
     assert list(pack_words(iter([]))) == []
+
+
+def merged_plainly(word, ranks):
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    while True:
+        pairs = [(ranks[a + b], k) for k, (a, b) in enumerate(zip(pieces, pieces[1:])) if a + b in ranks]
+        if not pairs:
+            return [ranks.get(p, 2**31 - 1) for p in pieces]
+        at = min(pairs)[1]
+        pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
+
+
+def test_the_fold_merges_numbers(spark):
+    random.seed(9)
+    words = {"".join(random.choice(letters) for _ in range(n)) for letters in ("ab", "the ", "é\0z") for n in range(1, 30)}
+    words |= {"a" * 512, " internationalization", "\U0001f600"}
+    # With gaps between the ids, pieces of several cuts, and without most bytes.
+    pieces = [b"a", b"b", b"ba", b"aa", b"ab", b"aab", b"aba", b"abab", b"xt", b"th", b"the"]
+    few = {piece: 7 * k + 3 for k, piece in enumerate(pieces)}
+    for ranks in (read_ranks(RANKS), few):
+        given = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+        for word, ids in given.select("word", encoded_word(F.col("word"), ranks).alias("ids")).collect():
+            assert ids == merged_plainly(word.encode(), ranks), word
