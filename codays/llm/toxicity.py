@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codays.llm.buckets import give_back
 from codays.llm.common import ids_and_texts, remainder, text_of, whole_row
 from codays.session import staged
 
@@ -232,6 +233,7 @@ def count_classes(labelled: DataFrame) -> DataFrame:
                 if len(sums[0]) + len(sums[1]) > MOST_COUNTED or len(keys) > MOST_COUNTED:
                     yield told()
         yield told()
+        give_back()
 
     counted = labelled.mapInArrow(count, "name string, toxic bigint, clean bigint")
     return staged(

@@ -94,7 +94,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = encode_documents(docs, ranks, public_tokenizers.PATTERN, cut_at_blanks=True)
-    decoded = decode_documents(encoded, ranks)
+    # Written before they are read again, as a task that also decodes needs two Python workers at once.
+    decoded = decode_documents(staged(encoded, "ids", compression="zstd"), ranks)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

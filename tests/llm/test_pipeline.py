@@ -1,11 +1,16 @@
 """The registered queries of this part and the stages of the pipeline."""
 
+import hashlib
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from codays.llm import shingles
+from codays.llm.buckets import give_back
 from codays.llm.queries import LLM_QUERIES, LLM_SQL
+from codays.llm.shingles import forget_words, word_numbers
 from codays.llm.suffix_dedup import remove_repeats, without_spans
 
 
@@ -84,3 +89,21 @@ def test_cuts_widen_to_whole_characters_and_spare_replacement_marks(spark):
     assert got == {0: ("\ufffd a one \ufffd", 9), 1: ("b two", 5), 2: (texts[2], 15)}
     assert without_spans("aéz".encode(), [(2, 3)]) == b"az"
     assert without_spans("aéözb".encode(), [(0, 2), (4, 5)]) == "zb".encode()
+
+
+def test_a_task_of_the_encoding_has_one_worker(spark):
+    """Texts are put together and decoded in steps of their own, so that no task holds two Python workers."""
+    texts = ["a b a b", None, "� don't\n é", "a b a b"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    encoded = corpus_pipeline.encode(spark, docs, "")
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InArrow") == 1, plan
+    rows = {r.doc_id: r.decoded_sha256 for r in encoded.collect()}
+    assert rows == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def test_words_are_forgotten_at_the_end_of_a_task():
+    word_numbers(["a", "b"])
+    forget_words()
+    assert not shingles._known and word_numbers(["b"]) == word_numbers(["a", "b"])[1:]
+    give_back()
