@@ -15,7 +15,7 @@ from codays.llm.forest import keep_one_each, text_key
 from codays.llm.mixing import draw, mix, text_size
 from codays.llm.suffix_dedup import repeated_spans, text_without
 from codays.llm.toxicity import score_texts, train
-from codays.session import staged
+from codays.session import batches_of, staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -96,12 +96,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     encoded = encode_documents(docs, ranks, public_tokenizers.PATTERN, cut_at_blanks=True)
     # Written before they are read again, as a task that also decodes needs two Python workers at once.
     decoded = decode_documents(staged(encoded, "ids", compression="zstd"), ranks)
-    return decoded.select(
+    digests = decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+    # 10,000 rows of ids are 40 MB, which the JVM holds outside its heap and the worker once more.
+    with batches_of(spark, 4_000_000):
+        return staged(digests, "digests")
 
 
 STAGES = [

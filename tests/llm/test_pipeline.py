@@ -3,6 +3,7 @@
 import hashlib
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from codays.llm.buckets import give_back
 from codays.llm.queries import LLM_QUERIES, LLM_SQL
 from codays.llm.shingles import forget_words, word_numbers
 from codays.llm.suffix_dedup import remove_repeats, without_spans
+from codays.session import batches_of
 
 
 @pytest.mark.parametrize("name", sorted(LLM_SQL))
@@ -91,17 +93,35 @@ def test_cuts_widen_to_whole_characters_and_spare_replacement_marks(spark):
     assert without_spans("aéözb".encode(), [(0, 2), (4, 5)]) == "zb".encode()
 
 
-def test_a_task_of_the_encoding_has_one_worker(spark):
+def test_a_task_of_the_decoding_has_one_worker(spark, monkeypatch):
     """Texts are put together and decoded in steps of their own, so that no task holds two Python workers."""
     texts = ["a b a b", None, "� don't\n é", "a b a b"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    plans, write = [], corpus_pipeline.staged
+    monkeypatch.setattr(corpus_pipeline, "staged", lambda df, *a, **b: plans.append(df) or write(df, *a, **b))
     encoded = corpus_pipeline.encode(spark, docs, "")
-    plan = encoded._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("InArrow") == 1, plan
+    last = plans[-1]._jdf.queryExecution().executedPlan().toString()
+    assert last.count("InArrow") == 1 and "FlatMapCoGroups" not in last, last
     rows = {r.doc_id: r.decoded_sha256 for r in encoded.collect()}
     assert rows == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
 
 
+def test_batches_are_bounded_in_bytes(spark):
+    """Wide rows reach Python in small batches, and the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    wide = spark.range(0, 2000, 1, 1).select(F.expr("cast(repeat('x', 2000) AS binary)").alias("b"))
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    with batches_of(spark, 500_000):
+        sizes = [r.n for r in wide.mapInArrow(rows, "n long").collect()]
+    assert sum(sizes) == 2000 and 100 < max(sizes) <= 250
+    assert spark.conf.get(name, None) == before
+
+
 def test_words_are_forgotten_at_the_end_of_a_task():
     word_numbers(["a", "b"])
     forget_words()
