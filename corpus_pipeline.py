@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codays.llm.byte_bpe import decode_documents, encode_documents
+from codays.llm.byte_bpe import BYTES_PER_BUCKET, decode_documents, encode_documents
 from codays.llm.common import WORD_PATTERN, table, text_of, whole_row
 from codays.llm.forest import keep_one_each, text_key
 from codays.llm.mixing import draw, mix, text_size
@@ -93,7 +93,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others; an empty table gives none. Only doc_id and text are read.
     """
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode_documents(docs, ranks, public_tokenizers.PATTERN, cut_at_blanks=True)
+    # The stages before leave idle workers beside those of this one, so these get half of the usual buckets.
+    encoded = encode_documents(
+        docs, ranks, public_tokenizers.PATTERN, bytes_per_bucket=BYTES_PER_BUCKET // 2, cut_at_blanks=True
+    )
     # Written before they are read again, as a task that also decodes needs two Python workers at once.
     decoded = decode_documents(staged(encoded, "ids", compression="zstd"), ranks)
     digests = decoded.select(

@@ -27,6 +27,7 @@ from codays.llm.byte_bpe import (
     read_ranks,
     round_trip,
     unpacked_words,
+    with_ids,
     words_of_parts,
 )
 from codays.llm.forest import (
@@ -741,3 +742,21 @@ def test_the_fold_merges_numbers(spark):
         given = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
         for word, ids in given.select("word", encoded_word(F.col("word"), ranks).alias("ids")).collect():
             assert ids == merged_plainly(word.encode(), ranks), word
+
+
+def test_plans_do_not_hold_the_ranks(spark):
+    words = [" the", "internationalization", "é\0z", " "]
+    given = spark.createDataFrame([(w, 1) for w in words], "word string, n int")
+    read = with_ids(given, read_ranks(RANKS))
+    plan = read._jdf.queryExecution()
+    for step in (plan.optimizedPlan(), plan.executedPlan()):
+        assert len(step.toString()) < 200_000  # 108,299 pairs take millions
+        assert " AS slots" not in step.toString()  # no row holds the array
+    assert read.columns == ["word", "n", "ids"]
+    for word, _, ids in read.collect():
+        assert ids == merged_plainly(word.encode(), read_ranks(RANKS)), word
+
+
+def test_no_ranks_encode_no_words(spark):
+    given = spark.createDataFrame([("ab",)], "word string")
+    assert [ids for _, ids in with_ids(given, {}).collect()] == [[2**31 - 1] * 2]
