@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import duckdb
@@ -15,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from codays.llm import attention, lm
-from codays.llm.buckets import packed, unpacked
+from codays.llm.buckets import compressed, packed, unpacked
 from codays.llm.byte_bpe import (
     _slices,
     decode_documents,
@@ -760,3 +761,64 @@ def test_plans_do_not_hold_the_ranks(spark):
 def test_no_ranks_encode_no_words(spark):
     given = spark.createDataFrame([("ab",)], "word string")
     assert [ids for _, ids in with_ids(given, {}).collect()] == [[2**31 - 1] * 2]
+
+
+def test_words_of_many_texts_at_once():
+    random.seed(4)
+    letters = " \t\n\r\x0b\x0caBÉé\x1c\x85\xa0Z\0x"
+    texts = ["", " ", "  a", "a ", "\x0b"]
+    texts += ["".join(random.choices(letters, k=random.randrange(40))) for _ in range(300)]
+    lists = lm.word_lists(pa.array(texts))
+    assert lists.to_pylist() == [words_of(t) for t in texts]
+    assert lm.word_lists(pa.array(texts).slice(7, 50)).to_pylist() == [words_of(t) for t in texts[7:57]]
+    arrays = [lists.flatten(), pa.array([], pa.binary()), lists.flatten().slice(5, 9)]
+    distinct, numbers = lm.numbered(arrays)
+    assert len(set(distinct.to_pylist())) == len(distinct)
+    assert [distinct.take(pa.array(n)).to_pylist() for n in numbers] == [a.to_pylist() for a in arrays]
+
+
+def bucket_of(texts, words):
+    """A bucket as ``looked_up`` gets it; the n-th word occurred n times and has n % 3 + 1 symbols."""
+    numbers = np.arange(len(words))
+    rows = {
+        "word": pa.array(words, pa.binary()),
+        "n": pa.array(numbers),
+        "symbols": pa.array([bytes([n % 256]) * (n % 3 + 1) for n in numbers], pa.binary()),
+        "counted": pa.array(-numbers.astype(np.float32)),
+    }
+    own = pa.table({"doc_id": pa.array(range(len(texts))), "text": texts, "held_out": [False] * len(texts)})
+    blocks = [compressed(own.slice(0, 2)), compressed(own.slice(2))]
+    halves = [pa.table(rows).slice(len(words) // 2), pa.table(rows).slice(0, len(words) // 2)]
+    return pa.table({"block": pa.array(blocks)}), pa.table({"block": pa.array([compressed(h) for h in halves])})
+
+
+GIVEN = [("doc_id", pa.int64()), ("held_out", pa.bool_())]
+
+
+def test_a_bucket_is_looked_up_text_by_text():
+    vocabulary = lm.Vocabulary([(0, 10, 4)], [], [], [], 1, 3)
+    texts, known = bucket_of(["b A b", "", " c\n", "a c"], [b"a", b"b", b"c"])
+    found = lm.looked_up(texts, known, vocabulary, GIVEN).to_pylist()
+    symbols, n = {"a": b"\0", "b": b"\1\1", "c": b"\2\2\2"}, {"a": 0, "b": 1, "c": 2}
+    for row, words in zip(found, ["bab", "", "c", "ac"], strict=True):
+        assert row["classes"] == b"".join(symbols[w] for w in words)
+        assert np.frombuffer(row["counted"], "<f4").tolist() == [-n[w] for w in words]
+        assert (row["n_tokens"], row["n_known"]) == (len(words) + 1, sum(n[w] > 0 for w in words) + 1)
+        counts = np.array([n[w] for w in words] + [3])
+        assert row["base_score"] == pytest.approx(vocabulary.base(counts).sum())
+    texts, known = bucket_of(["b d", "", ""], [b"b"])
+    with pytest.raises(KeyError):
+        lm.looked_up(texts, known, vocabulary, GIVEN)
+    texts, known = bucket_of(["", " ", ""], [])
+    assert [r["n_tokens"] for r in lm.looked_up(texts, known, vocabulary, GIVEN).to_pylist()] == [1, 1, 1]
+
+
+def test_a_bucket_of_many_words_takes_little_memory():
+    words = [f"w{i}" for i in range(100_000)]
+    texts, known = bucket_of([" ".join(words[k::10]) for k in range(10)], [w.encode() for w in words])
+    vocabulary = lm.Vocabulary([(0, 10, 4)], [], [], [], 1, 3)
+    tracemalloc.start()
+    lm.looked_up(texts, known, vocabulary, GIVEN)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 12_000_000  # as objects in a dictionary and a list the words took 16 MB
