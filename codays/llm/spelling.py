@@ -12,6 +12,9 @@ Signatures are equi-joined. Words of five letters or more that are one edit apar
 also share their first or their last two letters, so a signature comes once with
 either pair of letters, which cuts the groups of a common signature. What meets
 is verified by edit distance.
+
+Every table here grows with the words, so joins are merge joins whatever sizes are
+expected: a table of signatures is sized like its words, though it has up to 132 rows for each.
 """
 
 import re
@@ -160,7 +163,7 @@ def near_words(words: DataFrame, parts: int | None = None) -> DataFrame:
     )
     rows = signed.select("signature", "word", F.inline(ends))
     keys = ["signature", "first", "letters"]
-    met = rows.withColumnRenamed("word", "one").join(rows.withColumnRenamed("word", "two"), keys)
+    met = rows.withColumnRenamed("word", "one").join(rows.withColumnRenamed("word", "two").hint("merge"), keys)
     # Pairs with equal first letters meet by these alone.
     once = F.col("first") | (F.substring("one", 1, 2) != F.substring("two", 1, 2))
     alike = F.abs(F.length("one") - F.length("two")) <= 1
@@ -178,7 +181,7 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         onward = reached.select(F.col("word").alias("root"), F.col("root").alias("next"))
         further = staged(
-            reached.join(onward, "root", "left").select(
+            reached.join(onward.hint("merge"), "root", "left").select(
                 "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")
             ),
             "roots",
@@ -199,14 +202,14 @@ def variants(words: DataFrame, parts: int | None = None, share: int = FORM_SHARE
     pairs = staged(near_words(words, parts), "near")
     both = pairs.toDF("word", "near").union(pairs.select(F.col("two"), F.col("one")))
     best = (
-        both.join(words.toDF("near", "near_n"), "near")
+        both.join(words.toDF("near", "near_n").hint("merge"), "near")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct(-F.col("near_n"), F.col("near"))).alias("best"))
         .select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.col1")).alias("near_n"))
     )
     often = F.col("near_n") >= share * F.col("n")
     known = staged(
-        words.join(best, "word", "left").select(
+        words.join(best.hint("merge"), "word", "left").select(
             "word",
             F.when(often, F.col("near")).alias("form"),
             "n",
@@ -216,7 +219,7 @@ def variants(words: DataFrame, parts: int | None = None, share: int = FORM_SHARE
         "forms",
     )
     led = roots(known.where(F.col("form").isNotNull()))
-    return known.join(led, "word", "left").select(
+    return known.join(led.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from codays.llm import spelling
 from codays.llm.common import table
 from codays.llm.spelling import Signatures, parts_for, runs_of, spelling_variants, variants
+from codays.session import staged
 
 SCHEMA = "doc_id long, text string, word string, n int, signature string, root string"
 
@@ -135,3 +136,21 @@ def test_more_words_take_finer_parts():
 def test_empty_table(spark):
     assert spelling_variants(spark.createDataFrame([], SCHEMA)).collect() == []
     assert spelling_variants(spark.range(3).select(F.col("id").alias("doc_id"), F.lit("a bc").alias("text"))).count() == 0
+
+
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    """Sizes are expected too low after an explode, so no join may follow them."""
+    seen = []
+
+    def noted(df, *rest, **named):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, *rest, **named)
+
+    monkeypatch.setattr(spelling, "staged", noted)
+    words = {"stone": 3, "stones": 6, "stonesx": 12, "other": 4}
+    rows = variants(spark.createDataFrame(list(words.items()), "word string, n long"))
+    seen.append(rows._jdf.queryExecution().executedPlan().toString())
+    assert as_dict(rows) == brute_variants(Counter(words))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) > 1_000_000
+    assert sum(plan.count("SortMergeJoin") for plan in seen) >= 5
+    assert not any("Broadcast" in plan for plan in seen)
