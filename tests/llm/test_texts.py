@@ -619,6 +619,52 @@ def test_scores_do_not_follow_the_layout(spark):
     assert scores[2] == pytest.approx(scores[0], rel=1e-3)
 
 
+def test_all_training_documents_decide_on_the_share(spark):
+    """The share of likeliest training documents, whatever part of them a bound would leave."""
+    rng = np.random.default_rng(12)
+    frequencies = rng.dirichlet(np.ones(attention.CLASSES))
+    scorer = attention.Scorer.of(attention.initial(frequencies), frequencies)
+
+    class Given:
+        groups = np.eye(3)[[0] * 100 + [1] * 100 + [2] * 55 + [0]]
+        tokens = 40 * lm.CLASSES_AT_ONCE
+
+    rows = []
+    for i in range(60):
+        words = [bytes([rng.integers(0, 100), *rng.integers(100, 200, rng.integers(0, 4))]) for _ in range(30)]
+        # Counts say little of most texts, much of a few, and more of held-out ones.
+        counted = rng.normal(-1 if i % 10 == 0 else -25, 1, len(words)) * (i >= 5)
+        rows.append((i, i >= 55, b"".join(words), counted.astype("<f4").tobytes(), 31, 31, -1.0))
+    rows.append((None, False, b"", b"", 1, 1, -1.0))
+    kinds = "doc_id long, held_out boolean, classes binary, counted binary, n_tokens long, n_known long, base_score double"
+    scored = lm.scored_by_share(spark.createDataFrame(rows, kinds).repartition(3), scorer, Given)
+    got = {r.doc_id: r.scores for r in scored.collect()}
+    total = np.zeros(len(lm.SHARES))
+    for i, held_out, classes, counted, *_ in rows:
+        expected = np.zeros(len(lm.SHARES))
+        for alone, text, by_attention, by_counts in lm.words_by_both([classes], [counted], scorer, Given.groups):
+            mixed = [np.logaddexp(np.log(s) + by_attention, np.log(1 - s) + by_counts).sum() for s in lm.SHARES]
+            expected += alone.sum() + np.array(mixed)
+        assert got[i] == pytest.approx(expected, rel=1e-5)
+        total += expected * (not held_out)
+    assert lm.best_share(scored) == total.argmax()
+    assert 0 < total.argmax() < len(lm.SHARES) - 1
+    assert lm.best_share(scored.where("held_out")) == 0
+
+
+def test_products_of_many_words_do_not_vanish():
+    """A text of many unlikely words, texts without words, and probabilities far below what a double holds."""
+    rng = np.random.default_rng(5)
+    text = np.repeat([0, 2, 3], [1_000, 1, 250])
+    both = rng.normal(-500, 200, (2, len(text)))
+    both[1, 7] = -np.inf
+    got = lm.logs_by_share(*both, text, 5)
+    for k, share in enumerate(lm.SHARES):
+        mixed = np.logaddexp(np.log(share) + both[0], np.log1p(-share) + both[1])
+        assert got[:, k] == pytest.approx(np.bincount(text, weights=mixed, minlength=5), rel=1e-12)
+    assert lm.logs_by_share(*both[:, :0], text[:0], 2).tolist() == np.zeros((2, len(lm.SHARES))).tolist()
+
+
 def test_a_score_follows_from_counts_and_weights():
     """Class by class over overlapping windows, from the weights themselves."""
     rng = np.random.default_rng(2)
