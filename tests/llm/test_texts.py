@@ -501,6 +501,32 @@ def test_no_pair_of_subwords_is_cut(spark, monkeypatch):
     assert cut == pytest.approx(whole, rel=1e-3)
 
 
+def test_subwords_and_pairs_are_counted_as_arrays(spark, monkeypatch):
+    """Counts of subwords and pairs by hand, over training words, in one run and in many."""
+    random.seed(31)
+    rows = [(b"w%d" % k, random.choice([0, 1, 5]), [1], random.choices(range(7), k=random.randint(1, 5))) for k in range(300)]
+    words = spark.createDataFrame(rows, "word binary, n long, buckets array<int>, pieces array<int>").repartition(3)
+    expected, pairs = np.zeros((9, 6), int), collections.Counter()
+    for _, n, _, pieces in rows:
+        if n:
+            np.add.at(expected[:, 0], pieces, n)
+            expected[pieces[0], 1:3] += n, 1
+            expected[pieces[-1], 3] += 1
+            np.add.at(expected[:, 4], pieces[:-1], 1)
+            np.add.at(expected[:, 5], pieces[1:], 1)
+            pairs.update(zip(pieces, pieces[1:]))
+    for most in (lm.PAIRS_AT_ONCE, 10):
+        monkeypatch.setattr(lm, "PAIRS_AT_ONCE", most)
+        counts = lm.tallies(words, 9)
+        assert counts.tolist() == expected.tolist()
+        vocabulary, met = lm.learn_vocabulary(words, counts, 4)
+        assert {(r.one, r.two): r.times for r in met.collect()} == pairs
+        assert vocabulary.begun.tolist() == expected[:, 1].tolist()
+        asked = lm._neighbours(words, F.length("word") % 2, 9).select("part", "one", "two").distinct().collect()
+        assert {tuple(r) for r in asked} == {(len(w) % 2, *p) for w, _, _, ps in rows for p in zip(ps, ps[1:])}
+    assert lm.tallies(words.where("n < 0"), 9).sum() == 0
+
+
 def test_spellings_sum_to_one():
     pairs = [(0, 1, 4), (0, 2, 1), (1, 1, 2)]
     onward, arrived = [(0, 5), (1, 2)], [(1, 6), (2, 1)]
@@ -710,6 +736,53 @@ def test_attention_gradient_and_windows():
     assert sorted(scored.tolist()) == list(range(int(lengths.sum())))
 
 
+def test_windows_are_no_longer_than_what_they_hold(monkeypatch):
+    """Short texts are learned and scored in short windows, with the same results."""
+    rng = np.random.default_rng(6)
+    frequencies = rng.dirichlet(np.ones(attention.CLASSES))
+    w = attention.initial(frequencies)
+    w["lag"] = rng.normal(size=attention.WINDOW) * 0.2
+    scorer, groups = attention.Scorer.of(w, frequencies), np.eye(3)[np.arange(attention.CLASSES) % 3]
+    texts = [rng.integers(0, 255, n).astype(np.uint8).tobytes() for n in (*[9] * 70, 3, 0, 64, 200, 75, 15, 16, 17)]
+    sequences = lm._sequences(texts)
+    shapes, rows = set(), attention.Scratch.rows
+
+    def noted(self, name, table, at):
+        shapes.add((name, at.shape[-1]))
+        return rows(self, name, table, at)
+
+    monkeypatch.setattr(attention.Scratch, "rows", noted)
+    values = attention.flat(w)
+    total, n = attention.summed_gradient(values, *sequences)
+    chosen, masses = scorer.places(*sequences, groups)
+    assert {size for name, size in shapes if name in ("e", "keys")} >= {10, 64}
+    one = [attention.summed_gradient(values, *lm._sequences([t])) for t in texts]
+    assert n == sum(m for _, m in one) == len(sequences[0])
+    assert total == pytest.approx(sum(slope for slope, _ in one), abs=2e-3)
+    alone = [scorer.places(*lm._sequences([t]), groups) for t in texts]
+    assert chosen == pytest.approx(np.concatenate([c for c, _ in alone]), rel=1e-4)
+    assert masses == pytest.approx(np.concatenate([m for _, m in alone]), rel=1e-4)
+    empty = scorer.places(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), groups)
+    assert [len(a) for a in empty] == [0, 0]
+
+
+@pytest.mark.parametrize("size", [1, 60])
+def test_large_weights_give_the_same_gradient(size, monkeypatch):
+    """Exponentials get a factor where single precision would not hold them."""
+    rng = np.random.default_rng(7)
+    w = attention.initial(np.full(attention.CLASSES, 1 / attention.CLASSES))
+    w["query"] = w["query"] * size
+    w["output"] = w["output"] * size
+    x, y = (rng.integers(0, attention.CLASSES, (3, attention.WINDOW)) for _ in range(2))
+    counted = np.arange(attention.WINDOW) < np.array([64, 30, 5])[:, None]
+    loss, slopes = attention.gradient({k: v.astype(np.float32) for k, v in w.items()}, x, y, counted)
+    monkeypatch.setattr(attention, "SAFE_POWER", 1e9 if size == 1 else -1)
+    expected, wanted = attention.gradient(w, x, y, counted)
+    assert np.isfinite(loss) and loss == pytest.approx(expected, rel=1e-3)
+    for name in attention.SHAPES:
+        assert slopes[name] == pytest.approx(wanted[name], abs=1e-4 * size)
+
+
 def test_scores_are_probabilities_of_the_model():
     """Tables give what the trained weights give, and the next class has probability one in all."""
     rng = np.random.default_rng(1)
